@@ -58,6 +58,13 @@ VIEWS: dict[str, str] = {
                     then (case when o_orderkey % 2 = 0 then 4 else 2 end) end as old_nstate,
                case when o_orderkey % 3 = 1 then cast((o_custkey + 1) % 27 as string) end as old_deptcode
         from {orders}""",
+    # Events read as flat intents in time order, for the streamed reports.
+    "event_intents": """
+        select event_id as intent_id, cast(user_id % 27 as string) as dept_code,
+               cast(round(value * 100) as bigint) as amount, 9 as state,
+               substring(event_type, 1, 1) as fund_code, cast(user_id as string) as user_id,
+               case event_type when 'view' then 'U' when 'error' then 'US' else 'I' end as op_flag, ts
+        from {events}""",
     "funds": """
         select distinct substring(o_orderpriority, 1, 1) as fund_code,
                case when substring(o_orderpriority, 1, 1) <= '3' then 0 else 1 end as business_type
@@ -107,6 +114,17 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.sql(text, **inputs)
 
 
+def stream_view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The view over its table read as a stream of files."""
+    text = VIEWS[name]
+    inputs = {}
+    for t in set(re.findall(r"\{(\w+)\}", text)):
+        # A pattern, because the file source takes a folder or a pattern, not one file.
+        reader = spark.readStream.schema(table(spark, sf_dir, t).schema)
+        inputs[t] = reader.parquet(f"{sf_dir}/{t}.parque[t]")
+    return spark.sql(text, **inputs)
+
+
 def area_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Region -> comma list of its nations (25 rows in all)."""
     nations = table(spark, sf_dir, "nation")

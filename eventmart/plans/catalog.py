@@ -281,7 +281,7 @@ def clean_clicks(raw: DataFrame, functions, users, orgs, keep=(), tz: str = ZONE
     )
     names = enrich.names_left if how == "left" else enrich.names_inner
     named = enrich.org_name(names(clicks, functions, users), orgs)
-    text = named.select(
+    columns = named.select(
         *keep,
         F.col("app_id").alias("appId"),
         F.col("func_id").alias("funcId"),
@@ -292,7 +292,7 @@ def clean_clicks(raw: DataFrame, functions, users, orgs, keep=(), tz: str = ZONE
         F.col("user_id").alias("userId"),
         F.col("user_name").alias("userName"),
     )
-    return parse.clean_click_json(text, tz, keep=keep)
+    return parse.clean_click_json(columns, tz, keep=keep)
 
 
 @query(
