@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from eventmart.functions import epoch_seconds
 from eventmart.operators.lookup import dimension, lookup
+from eventmart.session import written
 
 CELLS_PER_BLOCK = 8_640
 
@@ -41,6 +42,8 @@ def mark_late(
     asked = rows.select(own.alias("step")).distinct().select("step", F.lit(None).cast(reached.schema["first"].dataType).alias("first"))
     steps = reached.unionByName(asked).groupBy("step").agg(F.min("first").alias("first"))
     closed = _suffix_minimum(steps).select(F.col("step").alias("__step"), F.col("first").alias("__closed"))
+    # Written once, as it is measured and then joined; one row per step.
+    closed = written(closed, "closed")
     joined = lookup(rows.withColumn("__step", own), dimension(closed, "__step"))
     late = F.coalesce(F.col("__closed") < position, F.lit(False))
     return joined.withColumn("is_late", late).drop("__step", "__closed")

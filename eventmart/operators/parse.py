@@ -18,9 +18,11 @@ def parse_json(
     df: DataFrame, schema: T.StructType, value: str = "value", keep: Sequence[str] = ()
 ) -> DataFrame:
     """Tolerant parse: unreadable text leaves nulls and its own copy in `_corrupt_record`."""
+    # Members become columns through a generator. As a projection the parse would be copied into
+    # every filter on a member that the optimizer moves below it, and run once per copy.
     with_bad = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     record = F.from_json(F.col(value), with_bad, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    return df.select(*keep, record.alias("__record")).select(*keep, "__record.*")
+    return df.select(*keep, F.inline(F.array(record)))
 
 
 def parse_json_strict(
@@ -32,7 +34,7 @@ def parse_json_strict(
     checked = F.when(F.size(absent) == 0, record).otherwise(
         F.raise_error(F.concat(F.lit("missing fields: "), F.concat_ws(",", absent)))
     )
-    return df.select(*keep, checked.alias("__record")).select(*keep, "__record.*")
+    return df.select(*keep, F.inline(F.array(checked)))
 
 
 def split_valid(parsed: DataFrame, valid: Column) -> tuple[DataFrame, DataFrame]:

@@ -22,6 +22,7 @@ from eventmart.functions import (
 from eventmart.operators import alerts, cdc, enrich, late, merge, parse, topn, totals, windows
 from eventmart.operators.lookup import dimension, lookup
 from eventmart.plans import balance
+from eventmart.session import written
 from eventmart.sources import dims
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -89,7 +90,8 @@ def _orgs(spark, sf):
 
 
 def _functions(spark, sf):
-    return dimension(fixtures.view(spark, sf, "function_dim"), "func_id")
+    # Distinct values of a large table: written once rather than derived for each use.
+    return dimension(written(fixtures.view(spark, sf, "function_dim"), "functions"), "func_id")
 
 
 def _users(spark, sf):
@@ -583,21 +585,23 @@ def _hop_oracle(size: int, slide: int, keys: str) -> str:
     return with_views("clicks function_dim org", f", {_NAMED} {_hop_sql(size, slide, keys)}")
 
 
-def click_report(clicks, functions, orgs, size: int, slide: int, time_keys: dict) -> DataFrame:
-    """PV and UV per application, function and organisation in hopping windows, with names.
+def click_report(clicks, functions, orgs, size: int, slide: int, unit: str, texts: dict) -> DataFrame:
+    """PV and UV per application, function, organisation and time unit in hopping windows, with names.
 
-    Names depend on the ids alone, so the windows are computed over ids and the names are looked up
-    for the result rows: shorter keys in the shuffle, fewer lookups.
+    Names depend on the ids alone and time texts on the unit's start, so the windows are computed
+    over ids and the start, and names and texts are made for the result rows: shorter keys in the
+    shuffles, fewer lookups.
     """
-    timed = clicks.withColumns(time_keys)
-    report = windows.hop_pv_uv(timed, [*_ID_KEYS, *time_keys], size, slide)
-    return enrich.org_name(lookup(report, functions), orgs)
+    timed = clicks.withColumn("__unit", F.date_trunc(unit, "ts"))
+    report = windows.hop_pv_uv(timed, [*_ID_KEYS, "__unit"], size, slide)
+    named = enrich.org_name(lookup(report, functions), orgs)
+    return named.withColumns({name: text(local_text("__unit")) for name, text in texts.items()}).drop("__unit")
 
 
 @query("hop_pv_uv_hour")
 def hop_pv_uv_hour(spark, sf):
-    keys = {"action_day": day_text(local_text("ts"))}
-    return click_report(_clicks(spark, sf), _functions(spark, sf), _orgs(spark, sf), 3600, 300, keys)
+    functions, orgs = _functions(spark, sf), _orgs(spark, sf)
+    return click_report(_clicks(spark, sf), functions, orgs, 3600, 300, "day", {"action_day": day_text})
 
 
 ORACLES["hop_pv_uv_hour"] = _hop_oracle(3600, 300, "app_id, func_id, org_code, func_name, org_name, action_day")
@@ -605,9 +609,9 @@ ORACLES["hop_pv_uv_hour"] = _hop_oracle(3600, 300, "app_id, func_id, org_code, f
 
 @query("hop_pv_uv_minute")
 def hop_pv_uv_minute(spark, sf):
-    text = local_text("ts")
-    keys = {"action_minute": minute_text(text), "action_clock": clock_text(text)}
-    return click_report(_clicks(spark, sf), _functions(spark, sf), _orgs(spark, sf), 70, 3, keys)
+    functions, orgs = _functions(spark, sf), _orgs(spark, sf)
+    texts = {"action_minute": minute_text, "action_clock": clock_text}
+    return click_report(_clicks(spark, sf), functions, orgs, 70, 3, "minute", texts)
 
 
 ORACLES["hop_pv_uv_minute"] = _hop_oracle(
@@ -805,7 +809,7 @@ def balance_inputs(spark, sf) -> balance.BalanceInputs:
     return balance.BalanceInputs(
         applications=fixtures.view(spark, sf, "applications"),
         repayments=fixtures.view(spark, sf, "repayments"),
-        funds=fixtures.view(spark, sf, "funds"),
+        funds=written(fixtures.view(spark, sf, "funds"), "funds"),
         intents=_intents(spark, sf),
         bills=fixtures.view(spark, sf, "bills"),
         bad_debts=fixtures.view(spark, sf, "bad_debts"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -44,3 +44,13 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     if base is None:
         return tempfile.mkdtemp(prefix=f"run-{name}-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def written(frame: DataFrame, name: str) -> DataFrame:
+    """The frame as a table written to the shared folder: computed once, safe from lost executors.
+
+    For results that are small next to their inputs and are used more than once.
+    """
+    path = shared_folder(frame.sparkSession, name)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import groupby
+from operator import itemgetter
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -27,6 +29,16 @@ def _alerts(rows: list[tuple[str, int]]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=ALERT.names)
 
 
+def _cells(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[int, list[tuple[int, int, str, int]]]]:
+    """One user's rows (cell, lo, function, hi) by cell, in order."""
+    rows = []
+    for batch in batches:
+        rows.extend(zip(*(batch[c].tolist() for c in ("cell", "lo", "func_id", "hi"))))
+    rows.sort()
+    for cell, group in groupby(rows, key=itemgetter(0)):
+        yield cell, list(group)
+
+
 class PairWithinGap(StatefulProcessor):
     """Keeps the end of a user's last cell; alerts on the first click of a cell that completes a pair.
 
@@ -41,30 +53,31 @@ class PairWithinGap(StatefulProcessor):
         self.edge = handle.getValueState("edge", _EDGE)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        cells = pd.concat(list(rows)).sort_values(["cell", "lo", "func_id"])
         before = self.edge.get() if self.edge.exists() else None
         found = []
-        for cell, group in cells.groupby("cell", sort=True):
-            first_func, first_us = group["func_id"].iloc[0], int(group["lo"].iloc[0])
-            alert = int(group["lo"].iloc[1]) if len(group) > 1 else None
+        for cell, clicks in _cells(rows):
+            _, first_us, first_func, _ = clicks[0]
+            alert = clicks[1][1] if len(clicks) > 1 else None
             if before is not None and before[0] == cell - 1:
                 other = before[1] if before[2] != first_func else before[3]
                 if other is not None and first_us - other <= self.gap_us:
                     alert = first_us
             if alert is not None:
                 found.append((key[0], alert))
-            ends = group.sort_values(["hi", "func_id"], ascending=[False, True])
-            other_us = int(ends["hi"].iloc[1]) if len(ends) > 1 else None
-            before = (int(cell), int(ends["hi"].iloc[0]), ends["func_id"].iloc[0], other_us)
+            ends = sorted(clicks, key=itemgetter(3), reverse=True)[:2]
+            before = (cell, ends[0][3], ends[0][2], ends[1][3] if len(ends) > 1 else None)
         self.edge.update(before)
         # The edge matters for the next cell only; once that is closed too, forget the user.
-        for timer in self.handle.listTimers():
-            self.handle.deleteTimer(timer)
-        self.handle.registerTimer(((before[0] + 2) * self.gap_us) // 1000 + 1)
+        self.handle.registerTimer(self._forget_at(before[0]))
         yield from _alerts(found)
 
+    def _forget_at(self, cell: int) -> int:
+        return ((cell + 2) * self.gap_us) // 1000 + 1
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.edge.clear()
+        # Timers of earlier edges still fire; they must not clear a newer one.
+        if self.edge.exists() and self._forget_at(self.edge.get()[0]) <= expiredTimerInfo.getExpiryTimeInMs():
+            self.edge.clear()
         yield from _alerts([])
 
     def close(self) -> None:
@@ -78,18 +91,17 @@ class TwoFunctionsEver(StatefulProcessor):
         self.functions = handle.getMapState("functions", "func_id string", "lo bigint")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        cells = pd.concat(list(rows)).sort_values(["cell", "lo", "func_id"])
         known = {k[0] for k in self.functions.keys()}
         found = []
-        for _, group in cells.groupby("cell", sort=True):
-            alert = int(group["lo"].iloc[0]) if len(known) > 1 else None
-            for func, lo in zip(group["func_id"], group["lo"]):
+        for _, clicks in _cells(rows):
+            alert = clicks[0][1] if len(known) > 1 else None
+            for _, lo, func, _ in clicks:
                 # Two functions decide; more need not be kept.
                 if len(known) < 2 and func not in known:
                     known.add(func)
-                    self.functions.updateValue((func,), (int(lo),))
+                    self.functions.updateValue((func,), (lo,))
                     if len(known) == 2:
-                        alert = int(lo)
+                        alert = lo
             if alert is not None:
                 found.append((key[0], alert))
         yield from _alerts(found)
