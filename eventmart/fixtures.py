@@ -176,8 +176,14 @@ def click_json(clicks: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     return clicks.select(*keep, F.when(F.col("event_id") % 50 == 0, F.substring(text, 1, 20)).otherwise(text).alias("value"))
 
 
-def flat_intent_json(rows: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+def flat_intent_json(rows: DataFrame, keep: tuple[str, ...] = (), before: bool = False) -> DataFrame:
     """Intents as flat JSON text, with the loan date in epoch milliseconds (0 where there is none)."""
+    old = F.struct(
+        F.col("old_dept_code").alias("strdeptcode"),
+        F.col("old_amount").alias("lamount"),
+        F.col("old_state").alias("nstate"),
+    )
+    image = [F.when(F.col("old_dept_code").isNotNull(), old).alias("beforeRecord")] if before else []
     ms = F.coalesce(F.unix_millis(F.col("ts").cast("timestamp")), F.lit(0))
     return rows.select(
         *keep,
@@ -191,6 +197,7 @@ def flat_intent_json(rows: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
                 F.col("amount").alias("lamount"),
                 F.col("op_flag").alias("opFlag"),
                 F.concat(F.lit("dept "), F.col("dept_code")).alias("detpname"),
+                *image,
             )
         ).alias("value"),
     )

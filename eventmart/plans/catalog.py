@@ -20,8 +20,8 @@ from eventmart.functions import (
     parse_iso,
 )
 from eventmart.operators import alerts, cdc, enrich, late, merge, parse, topn, totals, windows
-from eventmart.operators.lookup import dimension, lookup
-from eventmart.plans import balance
+from eventmart.operators.lookup import dimension
+from eventmart.plans import balance, jobs
 from eventmart.session import written
 from eventmart.sources import dims
 
@@ -261,42 +261,16 @@ def filter_table(spark, sf):
         left join org using (org_code) where event_id % 50 <> 0""",
 )
 def to_clean_json(spark, sf):
-    return clean_clicks(
+    return jobs.clean_clicks(
         fixtures.click_json(_clicks(spark, sf), keep=("event_id",)),
         _functions(spark, sf),
         _users(spark, sf),
         _orgs(spark, sf),
+        ZONE,
         keep=("event_id",),
     )
 
 
-def clean_clicks(raw: DataFrame, functions, users, orgs, keep=(), tz: str = ZONE, how: str = "left") -> DataFrame:
-    """Raw click text to clean click text: one parse, three lookups, one serialisation, no shuffle."""
-    parsed, _ = parse.split_valid(parse.parse_json(raw, schemas.RAW_CLICK, keep=keep), F.lit(True))
-    clicks = parsed.select(
-        *keep,
-        F.col("appId").alias("app_id"),
-        F.col("funcId").alias("func_id"),
-        F.col("opDate").alias("stropDate"),
-        F.col("orgCode").alias("org_code"),
-        F.col("userId").alias("user_id"),
-    )
-    names = enrich.names_left if how == "left" else enrich.names_inner
-    named = enrich.org_name(names(clicks, functions, users), orgs)
-    columns = named.select(
-        *keep,
-        F.col("app_id").alias("appId"),
-        F.col("func_id").alias("funcId"),
-        F.col("func_name").alias("funcName"),
-        "stropDate",
-        F.col("org_code").alias("orgCode"),
-        F.col("org_name").alias("orgName"),
-        F.col("user_id").alias("userId"),
-        F.col("user_name").alias("userName"),
-    )
-    return parse.clean_click_json(columns, tz, keep=keep)
-
-
 @query(
     "quarantine_split",
     "clicks",
@@ -433,6 +407,136 @@ def day_slot_query(spark, sf):
     return _clicks(spark, sf).select("event_id", day_slot(local_text("ts")).alias("slot"))
 
 
+# --- jobs from text to text -------------------------------------------------------------------
+
+
+_ORG_JSON = """'"detpname":"' || {o}.dept_name || '","busiAreaCode":"' || {o}.busi_area_code
+    || '","busiAreaName":"' || {o}.busi_area_name || '","adminAreaCode":"' || {o}.admin_area_code
+    || '","adminAreaName":"' || {o}.admin_area_name || '"'"""
+
+
+def _org_json(alias: str) -> str:
+    return _ORG_JSON.format(o=alias)
+
+
+_FULL = "(select * from org where n_attrs = 5)"
+
+
+@query(
+    "connect_intents",
+    "rows_ org",
+    f"""select intent_id, '{{"strloandate":' || coalesce(cast(epoch_ms(ts) as bigint), 0) || ',"strdeptcode":"' || dept_code
+        || '","nborrowmode":"' || fund_code || '","lamount":' || amount || ',"userid":"' || user_id || '","nstate":'
+        || state || ',"opFlag":"' || op_flag || '",' || {_org_json('o')}
+        || case when old_dept_code is null then '' else ',"beforeRecord":{{"strdeptcode":"' || old_dept_code
+           || '","lamount":' || old_amount || ',"nstate":' || old_state || ',' || {_org_json('p')} || '}}' end || '}}' as value
+        from rows_ join {_FULL} o on o.org_code = dept_code left join {_FULL} p on p.org_code = old_dept_code
+        where old_dept_code is null or p.org_code is not null""",
+)
+def connect_intents(spark, sf):
+    text = fixtures.flat_intent_json(_intents(spark, sf), keep=("intent_id",), before=True)
+    return jobs.connect_intents(text, _orgs(spark, sf), keep=("intent_id",))[0]
+
+
+def _cell_json(name: str, value: str, flag: str = "false", quote: bool = False) -> str:
+    """SQL for `"name":{"value":..,"isupdate":..}`; a null value leaves the member out."""
+    shown = f"""'"value":"' || {value} || '",'""" if quote else f"""'"value":' || {value} || ','"""
+    return f"""'"{name}":{{' || coalesce({shown}, '') || '"isupdate":' || {flag} || '}}'"""
+
+
+_CHANGE_CELLS = " || ',' || ".join(
+    [
+        _cell_json("lid", "intent_id"),
+        _cell_json("nborrowmode", "fund_code", "fund_code_changed", True),
+        _cell_json("lamount", "amount", "amount_changed"),
+        _cell_json("nstate", "state", "state_changed"),
+        _cell_json("strdeptcode", "dept_code", quote=True),
+        _cell_json("lborrowerid", "user_id", quote=True),
+    ]
+)
+_OLD_CELLS = " || ',' || ".join(
+    [
+        _cell_json("lid", "intent_id"),
+        _cell_json("nborrowmode", "fund_code", quote=True),
+        _cell_json("lamount", "old_amount"),
+        _cell_json("nstate", "old_state"),
+        _cell_json("strdeptcode", "old_dept_code", quote=True),
+        _cell_json("lborrowerid", "user_id", quote=True),
+    ]
+)
+_OTHER = "(select {})".format(", ".join(f"'{v}' as {c}" for c, v in enrich.OTHER_ORG.items()))
+_FILLED = "(select org_code, {} from org where n_attrs = 5)".format(", ".join(enrich.OTHER_ORG))
+
+
+def _filled(alias: str, key: str) -> str:
+    """The organisation of a department as a one-row subquery with the default bucket filled in."""
+    columns = ", ".join(f"coalesce({alias}_.{c}, {alias}_d.{c}) as {c}" for c in enrich.OTHER_ORG)
+    return f"""(select k, {columns} from (select distinct {key} as k from rows_) {alias}_k
+        cross join {_OTHER} {alias}_d left join {_FILLED} {alias}_ on {alias}_.org_code = k)"""
+
+
+@query(
+    "connect_changes",
+    "rows_ org",
+    f"""select intent_id, '{{"tableName":"' || table_name || '","opFlag":"' || op_flag || '",' || {_CHANGE_CELLS}
+        || ',"strloandate":' || coalesce(cast(epoch_ms(ts - interval '8' hour) as bigint), 0) || ',' || {_org_json('o')}
+        || case when op_flag <> 'U' then '' else ',"beforeRecord":{{' || {_OLD_CELLS} || ',"strloandate":'
+           || cast(epoch_ms(ts - interval '8' hour) as bigint) || ',' || {_org_json('p')} || '}}' end || '}}' as value
+        from rows_ join {_filled('o', 'dept_code')} o on o.k = dept_code
+        left join {_filled('p', 'old_dept_code')} p on p.k = old_dept_code
+        where table_name = 'loan_intent' and (op_flag <> 'U' or ts is not null)""",
+)
+def connect_changes(spark, sf):
+    text = fixtures.cdc_json(_intents(spark, sf), keep=("intent_id",))
+    return jobs.connect_changes(text, _orgs(spark, sf), "loan_intent", ZONE, keep=("intent_id",))[0]
+
+
+@query(
+    "flatten_changes",
+    "rows_ org",
+    f"""select '{{"fundcode":"' || fund_code || '","deptcode":"' || dept || '","loandate":"'
+        || strftime(ts, '%Y-%m-%d %H:%M:%S') || '","dataOPFlag":"' || image || '","detpname":"' || dept_name
+        || '","user_id":"' || user_id || '","busiAreaCode":"' || busi_area_code || '","nstate":' || s
+        || ',"intent_id":' || intent_id || ',"adminAreaCode":"' || admin_area_code || '","adminAreaName":"'
+        || admin_area_name || '","busiAreaName":"' || busi_area_name || '","lamount":' || a
+        || ',"eventtime":' || cast(epoch_ms(ts) as bigint) || '}}' as value from (
+            select *, dept_code as dept, amount as a, state as s, 'current' as image from rows_
+            union all select *, old_dept_code, -old_amount, old_state, 'before' from rows_ where op_flag = 'U') x
+        join {_FULL} o on org_code = dept where ts is not null""",
+)
+def flatten_changes(spark, sf):
+    return jobs.flatten_changes(fixtures.cdc_json(_intents(spark, sf)), _orgs(spark, sf))[0]
+
+
+@query(
+    "table_intents",
+    "rows_ org",
+    """select '{"deptcode":"' || dept_code || '","intentID":"' || intent_id || '","nborrowmode":"' || fund_code || '"'
+        || coalesce(',"strloandate":"' || strftime(ts, '%Y-%m-%d %H:%M:%S') || '"', '') || ',"nstate":' || state
+        || ',"lamount":' || amount || ',"userid":' || user_id || ',"deptname":"' || dept_name || '","busiAreaCode":"'
+        || busi_area_code || '","busiAreaName":"' || busi_area_name || '"'
+        || coalesce(',"adminAreaCode":"' || admin_area_code || '","adminAreaName":"' || admin_area_name || '"', '')
+        || '}' as value from rows_ join org on org_code = dept_code""",
+)
+def table_intents(spark, sf):
+    return jobs.table_intents(fixtures.cdc_json(_intents(spark, sf)), _orgs(spark, sf))[0]
+
+
+@query(
+    "clean_items",
+    "item_records",
+    """select '{"type":"' || type || '","score":' || score || ',"level":"' || level || '"'
+        || coalesce(',"area":"' || area || '"', '') || ',"dt":"' || strftime(dt, '%Y-%m-%d %H:%M:%S') || '"}' as value
+        from (select type_1 as type, score_1 as score, level_1 as level, country, dt from item_records
+            union all select type_2, score_2, level_2, country, dt from item_records) x
+        left join (select n_name, r_name as area from nation join region on n_regionkey = r_regionkey
+            where r_name <> 'ASIA') a on n_name = country""",
+)
+def clean_items(spark, sf):
+    known = dims.area_dimension(fixtures.area_raw(spark, sf)).where("area <> 'ASIA'")
+    return jobs.clean_items(fixtures.item_json(fixtures.view(spark, sf, "item_records")), dimension(known, "country"))
+
+
 # --- joins ------------------------------------------------------------------------------------
 
 
@@ -578,30 +682,16 @@ def _hop_sql(size: int, slide: int, keys: str, views: str = "clicks") -> str:
 
 _NAMED = """named as (select event_id, app_id, func_id, func_name, org_code, coalesce(dept_name, '') as org_name,
     user_id, ts from clicks left join function_dim using (func_id) left join org using (org_code))"""
-_ID_KEYS = ("app_id", "func_id", "org_code")
 
 
 def _hop_oracle(size: int, slide: int, keys: str) -> str:
     return with_views("clicks function_dim org", f", {_NAMED} {_hop_sql(size, slide, keys)}")
 
 
-def click_report(clicks, functions, orgs, size: int, slide: int, unit: str, texts: dict) -> DataFrame:
-    """PV and UV per application, function, organisation and time unit in hopping windows, with names.
-
-    Names depend on the ids alone and time texts on the unit's start, so the windows are computed
-    over ids and the start, and names and texts are made for the result rows: shorter keys in the
-    shuffles, fewer lookups.
-    """
-    timed = clicks.withColumn("__unit", F.date_trunc(unit, "ts"))
-    report = windows.hop_pv_uv(timed, [*_ID_KEYS, "__unit"], size, slide)
-    named = enrich.org_name(lookup(report, functions), orgs)
-    return named.withColumns({name: text(local_text("__unit")) for name, text in texts.items()}).drop("__unit")
-
-
 @query("hop_pv_uv_hour")
 def hop_pv_uv_hour(spark, sf):
     functions, orgs = _functions(spark, sf), _orgs(spark, sf)
-    return click_report(_clicks(spark, sf), functions, orgs, 3600, 300, "day", {"action_day": day_text})
+    return jobs.click_report(_clicks(spark, sf), functions, orgs, 3600, 300, "day", {"action_day": day_text})
 
 
 ORACLES["hop_pv_uv_hour"] = _hop_oracle(3600, 300, "app_id, func_id, org_code, func_name, org_name, action_day")
@@ -611,7 +701,7 @@ ORACLES["hop_pv_uv_hour"] = _hop_oracle(3600, 300, "app_id, func_id, org_code, f
 def hop_pv_uv_minute(spark, sf):
     functions, orgs = _functions(spark, sf), _orgs(spark, sf)
     texts = {"action_minute": minute_text, "action_clock": clock_text}
-    return click_report(_clicks(spark, sf), functions, orgs, 70, 3, "minute", texts)
+    return jobs.click_report(_clicks(spark, sf), functions, orgs, 70, 3, "minute", texts)
 
 
 ORACLES["hop_pv_uv_minute"] = _hop_oracle(

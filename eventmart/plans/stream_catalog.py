@@ -8,7 +8,8 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from eventmart import fixtures, schemas
 from eventmart.operators import topn, totals, windows
-from eventmart.plans.catalog import ALERT_GAP, _functions, _orgs, _users, clean_clicks, query, with_views
+from eventmart.plans.catalog import ALERT_GAP, _functions, _orgs, _users, query, with_views
+from eventmart.plans.jobs import clean_clicks
 from eventmart.session import shared_folder
 from eventmart.sources.streams import read_json_stream, register_stream_table, with_event_time
 from eventmart.streaming import aggregates, misuse, sinks

@@ -67,6 +67,7 @@ FLAT_INTENT = struct(
     nstate=INT,
     opFlag=STRING,
 )
+FLAT_CHANGE = struct(**{f.name: f.dataType for f in FLAT_INTENT}, beforeRecord=FLAT_INTENT)
 
 
 def _cell(kind: T.DataType) -> T.StructType:

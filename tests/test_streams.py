@@ -11,7 +11,7 @@ from conftest import SMALL
 from eventmart import fixtures, schemas
 from eventmart.operators import alerts, enrich, late, merge, parse, topn, totals, windows
 from eventmart.operators.lookup import dimension
-from eventmart.plans.catalog import clean_clicks
+from eventmart.plans.jobs import clean_clicks
 from eventmart.session import shared_folder
 from eventmart.sources import dims
 from eventmart.sources.streams import kafka_options, read_json_stream, register_stream_table, with_event_time
