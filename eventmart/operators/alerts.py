@@ -17,10 +17,6 @@ def _cell(ts: str, gap_seconds: int) -> Column:
     return F.floor(micros / F.lit(width)).cast("bigint")
 
 
-def _cells(clicks: DataFrame, gap_seconds: int, ts: str, user: str, func: str) -> DataFrame:
-    return clicks.groupBy(user, _cell(ts, gap_seconds).alias("cell"), func).agg(F.min(ts).alias("lo"), F.max(ts).alias("hi"))
-
-
 def misuse_alerts(
     clicks: DataFrame, gap_seconds: int = 1, ts: str = "ts", user: str = "user_id", func: str = "func_id"
 ) -> DataFrame:
@@ -28,33 +24,46 @@ def misuse_alerts(
 
     A click completes a pair when the user clicked another function at the same time or at most
     `gap_seconds` earlier.
+
+    A cell needs its two earliest functions and the two latest ones of the cell before. So every
+    combined row goes to its own cell as `now` and to the next cell as `before`, and one shuffle on
+    (user, cell) brings both together, at most two rows per function.
     """
-    per_func = _cells(clicks, gap_seconds, ts, user, func)
-    group = Window.partitionBy(user, "cell")
-    ranked = per_func.select(
-        user,
-        "cell",
-        func,
-        "lo",
-        "hi",
-        F.row_number().over(group.orderBy("lo", func)).alias("from_start"),
-        F.row_number().over(group.orderBy(F.desc("hi"), func)).alias("from_end"),
+    micros = F.unix_micros(F.col(ts).cast("timestamp"))
+    per_func = clicks.groupBy(user, _cell(ts, gap_seconds).alias("cell"), func).agg(
+        F.min(micros).alias("lo"), F.max(micros).alias("hi")
     )
-    edges = ranked.groupBy(user, "cell").agg(
-        F.min(F.when(F.col("from_start") == 1, F.col("lo"))).alias("first_ts"),
-        F.max(F.when(F.col("from_start") == 1, F.col(func))).alias("first_func"),
-        F.min(F.when(F.col("from_start") == 2, F.col("lo"))).alias("second_ts"),
-        F.max(F.when(F.col("from_end") == 1, F.col("hi"))).alias("last_ts"),
-        F.max(F.when(F.col("from_end") == 1, F.col(func))).alias("last_func"),
-        F.max(F.when(F.col("from_end") == 2, F.col("hi"))).alias("other_ts"),
+    roles = F.array(
+        F.struct(F.col("cell").alias("cell"), F.lit(True).alias("now"), F.col("lo").alias("at")),
+        F.struct((F.col("cell") + 1).alias("cell"), F.lit(False).alias("now"), F.col("hi").alias("at")),
+    )
+    placed = per_func.select(user, func, F.inline(roles)).repartition(user, "cell")
+    nearest = F.when(F.col("now"), F.col("at")).otherwise(-F.col("at"))
+    rank = F.row_number().over(Window.partitionBy(user, "cell", "now").orderBy(nearest, func))
+
+    def pick(now: bool, place: int, column: str):
+        wanted = (F.col("now") == now) & (F.col("rank") == place)
+        return F.max(F.when(wanted, F.col(column)))
+
+    edges = (
+        placed.withColumn("rank", rank)
+        .where("rank <= 2")
+        .groupBy(user, "cell")
+        .agg(
+            pick(True, 1, "at").alias("first_at"),
+            pick(True, 1, func).alias("first_func"),
+            pick(True, 2, "at").alias("second_at"),
+            pick(False, 1, "at").alias("last_at"),
+            pick(False, 1, func).alias("last_func"),
+            pick(False, 2, "at").alias("other_at"),
+        )
     )
-    before = edges.select(user, (F.col("cell") + 1).alias("cell"), "last_ts", "last_func", "other_ts")
-    paired = edges.drop("last_ts", "last_func", "other_ts").join(before, [user, "cell"], "left")
-    # The latest click of the previous cell on another function than this cell's first one.
-    other = F.when(F.col("last_func") != F.col("first_func"), F.col("last_ts")).otherwise(F.col("other_ts"))
-    near = F.col("first_ts") <= other + F.make_dt_interval(secs=F.lit(gap_seconds))
-    alert = F.when(near, F.col("first_ts")).otherwise(F.col("second_ts"))
-    return paired.select(user, alert.alias("alert_ts")).where(F.col("alert_ts").isNotNull())
+    # The latest click of the cell before on another function than this cell's first one.
+    other = F.when(F.col("last_func") != F.col("first_func"), F.col("last_at")).otherwise(F.col("other_at"))
+    near = F.col("first_at") - other <= gap_seconds * 1_000_000
+    alert = F.when(near, F.col("first_at")).otherwise(F.col("second_at"))
+    instant = F.timestamp_micros(alert).cast(clicks.schema[ts].dataType)
+    return edges.select(user, instant.alias("alert_ts")).where(F.col("alert_ts").isNotNull())
 
 
 def misuse_alerts_ever(

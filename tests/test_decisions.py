@@ -214,3 +214,30 @@ def test_report_can_be_distributed(spark):
     plain = balance.balance_report(inputs, REPORT_DAY, STAGED_FUNDS)
     spread = balance.balance_report(inputs, REPORT_DAY, STAGED_FUNDS, distribute_by=["strdate"])
     assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, spread.collect()))
+
+
+# --- jobs ---
+
+
+def test_jobs_send_every_row_on_or_to_quarantine(spark):
+    from eventmart.operators.lookup import dimension
+    from eventmart.plans import jobs
+    from eventmart.sources import dims
+
+    raw = spark.createDataFrame([("a", "n,b,c,d,e"), ("short", "n,b")], "k string, v string")
+    orgs = dimension(dims.org_dimension(raw), "org_code")
+    undated = change(4, 1, "a").replace("2019-10-30 10:00:00", "30 October")
+    texts = [change(1, 9, "a"), change(2, 9, "short"), change(3, 9, "gone"), undated, '{"lid":']
+    frame = spark.createDataFrame([(t,) for t in texts], "value string")
+    flat, bad = jobs.flatten_changes(frame, orgs)
+    assert flat.count() == 1 and bad.count() == 4
+    assert '"detpname":"n"' in flat.first()["value"] and '"eventtime":1572429600000' in flat.first()["value"]
+    rows, bad = jobs.table_intents(frame, orgs)
+    assert rows.count() == 3 and bad.count() == 2
+    connected, bad = jobs.connect_changes(frame, orgs, "loan_intent")
+    # The unreadable text names no table, so it is filtered out before.
+    assert connected.count() == 3 and bad.count() == 1
+    flat_texts = ['{"strdeptcode":"a"}', '{"strdeptcode":"a","beforeRecord":{"strdeptcode":"gone"}}', "x"]
+    frame = spark.createDataFrame([(t,) for t in flat_texts], "value string")
+    connected, bad = jobs.connect_intents(frame, orgs)
+    assert connected.count() == 1 and bad.count() == 2
