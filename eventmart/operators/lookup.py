@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 MAX_BROADCAST_ROWS = 500_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
-HOT_KEYS = 1_000
+HOT_KEYS = 5_000
 
 
 @dataclass(frozen=True)

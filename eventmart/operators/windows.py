@@ -71,7 +71,7 @@ def tumble_report(
 
 def hop_count(rows: DataFrame, keys: Sequence[str], size: int, slide: int, ts: str = "ts") -> DataFrame:
     """Rows per hopping window and key."""
-    pane = gcd(size, slide)
+    pane = _pane(size, slide)
     panes = rows.groupBy(_aligned(epoch_seconds(ts), pane).alias("__pane"), *keys).agg(
         F.count(F.lit(1)).alias("__n")
     )
@@ -79,6 +79,12 @@ def hop_count(rows: DataFrame, keys: Sequence[str], size: int, slide: int, ts: s
     return spread.groupBy("__w", *keys).agg(F.sum("__n").alias("cnt")).select(*_bounds(size), *keys, "cnt")
 
 
+def _pane(size: int, slide: int) -> int:
+    if not 0 < slide <= size:
+        raise ValueError("the slide must be positive and not longer than the window")
+    return gcd(size, slide)
+
+
 def _windows_of(pane: str, size: int, slide: int, length: int, after: Column | None = None) -> Column:
     """Starts of the windows that hold the pane: multiples of `slide` in (pane + length - 1 - size, pane]."""
     first = _aligned(F.col(pane) + (length - 1) - size, slide) + slide
@@ -99,7 +105,7 @@ def hop_pv_uv(
     pane at hand, a pane adds the user exactly to the windows starting after that pane. So unique
     users become a sum, and the (window, key, user) rows, size/slide times the data, never exist.
     """
-    pane = gcd(size, slide)
+    pane = _pane(size, slide)
     seen = clicks.groupBy(_aligned(epoch_seconds(ts), pane).alias("__pane"), *keys, user).agg(
         F.count(F.lit(1)).alias("__n")
     )
