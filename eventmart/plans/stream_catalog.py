@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from eventmart import fixtures, schemas
+from eventmart.functions import day_slot
 from eventmart.operators import topn, totals, windows
 from eventmart.plans.catalog import ALERT_GAP, _functions, _orgs, _users, query, with_views
 from eventmart.plans.jobs import clean_clicks
@@ -127,6 +128,34 @@ def stream_running_totals(spark, sf):
     return target.read(spark).withColumn("day", F.col("day").cast("string"))
 
 
+@query(
+    "stream_slot_report",
+    "clicks",
+    """select slot, app_id, func_id, org_code, max(window_end) as window_end, arg_max(pv, window_end) as pv,
+        arg_max(uv, window_end) as uv from (
+            select cast(day(ts) % 2 as varchar) as slot, app_id, func_id, org_code,
+                make_timestamp((st + 3600) * 1000000) as window_end, strftime(ts, '%Y-%m-%d') as day,
+                count(*) as pv, count(distinct user_id) as uv from (
+                    select *, cast(floor(epoch(ts) / 300) * 300 as bigint) - 300 * i as st from clicks, range(12) t(i)) x
+            where st <= epoch(ts) and epoch(ts) < st + 3600
+                and st + 3600 <= (select epoch(max(ts)) - 60 from clicks) group by all) y
+        group by 1, 2, 3, 4""",
+)
+def stream_slot_report(spark, sf):
+    """PV/UV upserted under a two-day slot: the latest window of a key wins, the target holds two days."""
+    folder = shared_folder(spark, "slots")
+    clicks = with_event_time(fixtures.stream_view(spark, sf, "clicks"), delay="60 seconds")
+    timed = clicks.withColumn("action_day", F.date_format("ts", "yyyy-MM-dd"))
+    report = aggregates.hop_pv_uv(timed, ["app_id", "func_id", "org_code", "action_day"], 3600, 300)
+    # A window over midnight has a row per day, so a key has one row per window within its slot.
+    slotted = report.withColumn("slot", day_slot("action_day"))
+    keys = ("slot", "app_id", "func_id", "org_code")
+    target = sinks.UpsertTable(f"{folder}/report", keys, ("window_end", "action_day"), ("slot",), load_time="optime")
+    _run(slotted, "append", target, folder)
+    current = target.read(spark).select("app_id", "func_id", "org_code", "window_end", "pv", "uv", F.col("slot").cast("string"))
+    return _wall_clock(current)
+
+
 def _clicks_stream(spark, sf) -> DataFrame:
     return with_event_time(fixtures.stream_view(spark, sf, "clicks"))
 

@@ -79,10 +79,12 @@ class UpsertTable:
             raise ValueError("partition columns must be key columns")
 
     def read(self, spark: SparkSession) -> DataFrame | None:
+        """The table, or None while no row has been written."""
         try:
             return spark.read.parquet(self.path)
         except AnalysisException as error:
-            if error.getCondition() == "PATH_NOT_FOUND":
+            # An empty batch leaves a folder without files.
+            if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
                 return None
             raise
 

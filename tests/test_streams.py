@@ -17,6 +17,7 @@ from eventmart.sources import dims
 from eventmart.sources.streams import kafka_options, read_json_stream, register_stream_table, with_event_time
 from eventmart.streaming import aggregates, misuse, sinks
 from eventmart.streaming.late import LateRouter
+from eventmart.streaming.refresh import RefreshedDimension, enrich_with
 
 START = datetime(2024, 1, 1)
 
@@ -241,22 +242,46 @@ def test_enrichment_with_a_large_dimension_on_a_stream(spark, folder):
     assert rows(spark.read.parquet(f"{folder}/batch"), columns) == expected
 
 
-def test_dimension_refresh_between_batches(spark, folder):
-    """The snapshot is read anew for each batch; an empty one leaves the last in place."""
-    for i in range(3):
-        write_texts(f"{folder}/in", f"{i}.txt", [json.dumps({"org_code": "1"})])
-    snapshots = [[("1", "first")], [], [("1", "third")]]
-    held = {}
+def refreshed(spark, folder, snapshots, merge):
+    """Names of codes 1 and 2 per batch, with one snapshot (or failure) per batch."""
+    for i in range(len(snapshots)):
+        write_texts(f"{folder}/in", f"{i}.txt", [json.dumps({"org_code": c}) for c in ("1", "2")])
+    turn = iter(snapshots)
+
+    def load(session):
+        entries = next(turn)
+        if entries is None:
+            return session.read.parquet(f"{folder}/nowhere")
+        return dims.org_dimension(session.createDataFrame(entries, "k string, v string"))
+
+    dim = RefreshedDimension(load, "org_code", f"{folder}/snapshots", merge=merge, every=0)
+    schema = schemas.struct(org_code=schemas.STRING)
+    stream = parse.parse_json(read_json_stream(spark, path=f"{folder}/in", max_files=1), schema)
+    run(stream, "append", enrich_with(dim, enrich.org_name, sinks.append_to(f"{folder}/out")), folder)
+    out = spark.read.parquet(f"{folder}/out").groupBy("batch_id").agg(
+        F.sort_array(F.collect_list(F.concat_ws("=", "org_code", "org_name"))).alias("names")
+    )
+    return [r["names"] for r in out.orderBy("batch_id").collect()]
+
+
+SNAPSHOTS = [[("1", "a"), ("2", "a")], [], None, [("1", "b")]]
 
-    def refresh(batch, batch_id):
-        new = dims.org_dimension(spark.createDataFrame(snapshots[batch_id], "k string, v string"))
-        held["orgs"] = dims.replace_snapshot(held.get("orgs", new), new)
-        named = enrich.org_name(batch, dimension(held["orgs"], "org_code"))
-        sinks.append_to(f"{folder}/out")(named, batch_id)
 
-    stream = parse.parse_json(read_json_stream(spark, path=f"{folder}/in", max_files=1), schemas.struct(org_code=schemas.STRING))
-    run(stream, "append", refresh, folder)
-    assert rows(spark.read.parquet(f"{folder}/out"), ["batch_id", "org_name"]) == [(0, "first"), (1, "first"), (2, "third")]
+def test_replaced_dimension(spark, folder):
+    got = refreshed(spark, folder, SNAPSHOTS, merge=False)
+    assert got == [["1=a", "2=a"]] * 3 + [["1=b", "2="]]
+
+
+def test_merged_dimension(spark, folder):
+    got = refreshed(spark, folder, SNAPSHOTS, merge=True)
+    assert got == [["1=a", "2=a"]] * 3 + [["1=b", "2=a"]]
+    # A new holder, as after a restart, goes on from the written snapshots.
+    later = RefreshedDimension(
+        lambda session: dims.org_dimension(session.createDataFrame([("3", "c")], "k string, v string")),
+        "org_code", f"{folder}/snapshots", merge=True,
+    )
+    assert sorted(r["org_code"] for r in later(spark, 9).frame.collect()) == ["1", "2", "3"]
+    assert later(spark, 10) is later(spark, 11)
 
 
 def test_strict_table_stops_the_stream(spark, folder):
@@ -270,6 +295,8 @@ def test_strict_table_stops_the_stream(spark, folder):
 def test_upsert_table_rewrites_touched_partitions_only(spark, folder):
     table = sinks.UpsertTable(f"{folder}/t", ("slot", "k"), "o", ("slot",))
     first = spark.createDataFrame([("0", "a", 1, 1), ("1", "b", 2, 1)], "slot string, k string, v int, o int")
+    table(first.limit(0), 0)
+    assert table.read(spark) is None
     table(first, 0)
     untouched = os.listdir(f"{folder}/t/slot=1")
     second = spark.createDataFrame([("0", "a", 5, 1), ("0", "c", 6, 1)], first.schema)
