@@ -11,13 +11,14 @@ from eventmart.functions import day_slot
 from eventmart.operators import topn, totals, windows
 from eventmart.plans.catalog import ALERT_GAP, _functions, _orgs, _users, query, with_views
 from eventmart.plans.jobs import clean_clicks
-from eventmart.session import shared_folder
+from eventmart.session import shared_folder, state_partitions
 from eventmart.sources.streams import read_json_stream, register_stream_table, with_event_time
 from eventmart.streaming import aggregates, misuse, sinks
 
 
 def _run(frame: DataFrame, mode: str, writer: sinks.BatchWriter, folder: str) -> None:
-    sinks.run_available(frame.writeStream.outputMode(mode).foreachBatch(writer), f"{folder}/checkpoint")
+    with state_partitions(frame.sparkSession):
+        sinks.run_available(frame.writeStream.outputMode(mode).foreachBatch(writer), f"{folder}/checkpoint")
 
 
 def _wall_clock(frame: DataFrame) -> DataFrame:

@@ -4,10 +4,18 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# State outside the heap; a commit uploads the changes of its batch, not whole snapshots.
+STATE_STORE = {
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
 
 def build_session(master: str | None = None, app_name: str = "eventmart", **conf) -> SparkSession:
@@ -19,7 +27,7 @@ def build_session(master: str | None = None, app_name: str = "eventmart", **conf
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
+        **STATE_STORE,
         **{key.replace("__", "."): str(value) for key, value in conf.items()},
     }
     for key, value in settings.items():
@@ -30,7 +38,8 @@ def build_session(master: str | None = None, app_name: str = "eventmart", **conf
 def prepare(spark: SparkSession) -> SparkSession:
     """Pin what results depend on: epoch arithmetic on wall-clock times assumes a UTC session."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+    for key, value in STATE_STORE.items():
+        spark.conf.set(key, value)
     return spark
 
 
@@ -54,3 +63,20 @@ def written(frame: DataFrame, name: str) -> DataFrame:
     path = shared_folder(frame.sparkSession, name)
     frame.write.parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
+@contextmanager
+def state_partitions(spark: SparkSession) -> Iterator[None]:
+    """Start a streaming query with a state layout fit for where it runs.
+
+    The number of shuffle partitions is fixed with a query's first batch, and each costs a commit per
+    batch. On a cluster the session's setting holds; on one machine there are no more than cores.
+    """
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    if spark.sparkContext.master.startswith("local"):
+        spark.conf.set(key, str(min(int(before), spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
