@@ -88,6 +88,10 @@ def misuse_alerts_ever(
     return reached.select(user, alert.alias("alert_ts"))
 
 
+# The wording of an alert around the user.
+ALERT_HEAD, ALERT_TAIL = "user_id --> ", " 被他人盗用"
+
+
 def alert_text(alerts: DataFrame, user: str = "user_id") -> DataFrame:
-    text = F.concat(F.lit("user_id --> "), F.col(user), F.lit(" is used by someone else"))
+    text = F.concat(F.lit(ALERT_HEAD), F.col(user), F.lit(ALERT_TAIL))
     return alerts.select(user, "alert_ts", text.alias("alert"))

@@ -22,18 +22,17 @@ def hot_functions(clicks: DataFrame, n: int = 5, size: int = 60, slide: int = 5)
     return top_n(hop_count(clicks, ["func_id"], size, slide), n)
 
 
+# The wording of the ranking report, up to the rank, after it, and between entries.
+HEAD, RANK, FUNCTION, VIEWS = "时间：", "第", "名功能 ", " pv="
+RULE = "========================================"
+
+
 def ranking_text(ranked: DataFrame, window: str = "window_end") -> DataFrame:
-    """One text per window from its ranked rows: a head line, then one line per rank."""
-    line = F.concat(
-        F.lit("No. "), F.col("rank"), F.lit(" function "), F.col("func_id"), F.lit(" pv="), F.col("cnt")
-    )
+    """One text per window from its ranked rows: a head line, then an entry and a rule per rank."""
+    entry = F.concat(F.lit(RANK), "rank", F.lit(FUNCTION), "func_id", F.lit(VIEWS), "cnt", F.lit(f"\n{RULE}\n"))
     # The input holds at most n rows per window, so the collected list is bounded.
-    lines = F.sort_array(F.collect_list(F.struct("rank", line.alias("line"))))
-    return ranked.groupBy(window).agg(lines.alias("lines")).select(
-        window,
-        F.concat_ws(
-            "\n",
-            F.concat(F.lit("time: "), F.date_format(window, "yyyy-MM-dd HH:mm:ss")),
-            F.transform("lines", lambda item: item["line"]),
-        ).alias("report"),
+    entries = F.sort_array(F.collect_list(F.struct("rank", entry.alias("entry"))))
+    head = F.concat(F.lit(HEAD), F.date_format(window, "yyyy-MM-dd HH:mm:ss.S"), F.lit("\n"))
+    return ranked.groupBy(window).agg(entries.alias("entries")).select(
+        window, F.concat(head, F.array_join(F.transform("entries", lambda item: item["entry"]), "")).alias("report")
     )

@@ -731,8 +731,9 @@ def hot_topn(spark, sf):
 @query(
     "hot_report_text",
     "ranked",
-    """select window_end, 'time: ' || strftime(window_end, '%Y-%m-%d %H:%M:%S') || chr(10)
-        || string_agg('No. ' || rank || ' function ' || func_id || ' pv=' || cnt, chr(10) order by rank) as report
+    f"""select window_end, '时间：' || strftime(window_end, '%Y-%m-%d %H:%M:%S') || '.0' || chr(10)
+        || string_agg('第' || rank || '名功能 ' || func_id || ' pv=' || cnt || chr(10) || '{"=" * 40}' || chr(10), ''
+            order by rank) as report
         from ranked group by window_end""",
 )
 def hot_report_text(spark, sf):
@@ -812,6 +813,19 @@ def misuse_alert(spark, sf):
     return alerts.misuse_alerts(_clicks(spark, sf), ALERT_GAP)
 
 
+@query(
+    "misuse_alert_text",
+    "clicks",
+    f"""select user_id, alert_ts, 'user_id --> ' || user_id || ' 被他人盗用' as alert from (
+            select user_id, min(ts) as alert_ts from clicks a where exists (
+                select 1 from clicks b where b.user_id = a.user_id and b.func_id <> a.func_id
+                and b.ts <= a.ts and b.ts >= a.ts - interval '{ALERT_GAP}' second)
+            group by user_id, floor(epoch(ts) / {ALERT_GAP})) x""",
+)
+def misuse_alert_text(spark, sf):
+    return alerts.alert_text(alerts.misuse_alerts(_clicks(spark, sf), ALERT_GAP))
+
+
 @query(
     "misuse_alert_ever",
     "clicks",

@@ -96,5 +96,5 @@ def test_ranking_text(spark):
         [(START, "b", 1, 2), (START, "a", 3, 1)], "window_end timestamp_ntz, func_id string, cnt bigint, rank int"
     )
     assert topn.ranking_text(ranked).first()["report"] == (
-        "time: 2024-01-01 00:00:00\nNo. 1 function a pv=3\nNo. 2 function b pv=1"
+        f"时间：2024-01-01 00:00:00.0\n第1名功能 a pv=3\n{'=' * 40}\n第2名功能 b pv=1\n{'=' * 40}\n"
     )
