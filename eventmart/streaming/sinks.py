@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from eventmart.operators import merge
 
@@ -21,6 +21,11 @@ def run_available(writer: DataStreamWriter, checkpoint: str) -> None:
     writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
+def start_every(writer: DataStreamWriter, checkpoint: str, interval: str = "5 seconds") -> StreamingQuery:
+    """Run on, firing every `interval` of processing time with what has come in."""
+    return writer.option("checkpointLocation", checkpoint).trigger(processingTime=interval).start()
+
+
 def json_stream_writer(
     texts: DataFrame, path: str | None = None, kafka: Mapping[str, str] | None = None, topic: str | None = None
 ) -> DataStreamWriter:

@@ -344,3 +344,26 @@ def test_late_marks_equal_the_router_with_one_row_per_batch(spark):
 def test_documents_rename(spark):
     frame = spark.createDataFrame([(1, None, "x")], "a int, b int, c string")
     assert merge.documents(frame, {"a": "A"}).first()["document"] == '{"A":"1","c":"x"}'
+
+
+def test_periodic_firing_emits_the_running_result(spark, folder):
+    """Each firing gives the totals so far, and rows are counted once however often it fires."""
+    schema = schemas.struct(at=schemas.STRING, dept_code=schemas.STRING, user_id=schemas.STRING)
+    line = json.dumps({"at": "2024-01-01T00:00:01.000Z", "dept_code": "d", "user_id": "u"})
+    write_texts(f"{folder}/in", "0.txt", [line])
+    rows_in = parse.parse_json(read_json_stream(spark, path=f"{folder}/in", max_files=1), schema)
+    stream = with_event_time(rows_in, F.to_timestamp("at")).withColumns({"op_flag": F.lit("I"), "amount": F.lit(2)})
+    running = aggregates.running_totals(stream, totals.sign_of_operation(), totals.signed_amount())
+    table = sinks.UpsertTable(f"{folder}/table", ("day", "dept_code"), "lend_cnt", ("day",))
+    writer = running.writeStream.outputMode("update").foreachBatch(table)
+    query = sinks.start_every(writer, f"{folder}/checkpoint", "1 second")
+    try:
+        query.processAllAvailable()
+        first = table.read(spark).first()
+        write_texts(f"{folder}/in", "1.txt", [line, line])
+        query.processAllAvailable()
+        second = table.read(spark).first()
+    finally:
+        query.stop()
+    assert (first["lend_cnt"], first["lend_amount"], first["user_cnt"]) == (1, 2, 1)
+    assert (second["lend_cnt"], second["lend_amount"], second["user_cnt"]) == (3, 6, 1)
