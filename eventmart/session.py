@@ -60,7 +60,7 @@ def written(frame: DataFrame, name: str) -> DataFrame:
 
     For results that are small next to their inputs and are used more than once.
     """
-    path = shared_folder(frame.sparkSession, name)
+    path = f"{shared_folder(frame.sparkSession, name)}/data"
     frame.write.parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 

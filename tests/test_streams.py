@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SMALL
-from eventmart import fixtures, schemas
+from eventmart import fixtures, schemas, session
 from eventmart.operators import alerts, enrich, late, merge, parse, topn, totals, windows
 from eventmart.operators.lookup import dimension
 from eventmart.plans.jobs import clean_clicks
@@ -336,6 +336,13 @@ def test_shared_folder_follows_the_session(spark):
         assert one.startswith(f"{base.rstrip('/')}/x-")
 
 
+def test_written_tables_also_go_to_a_temporary_folder(spark, folder, monkeypatch):
+    """Without a shared folder in the session, a folder that exists already is used."""
+    monkeypatch.setattr(session, "shared_folder", lambda spark, name: folder)
+    frame = spark.range(3)
+    assert session.written(frame, "x").count() == 3
+
+
 def test_late_marks_equal_the_router_with_one_row_per_batch(spark):
     frame = spark.createDataFrame([(i, START + timedelta(seconds=s), i) for i, s in enumerate([3, 25, 4, 60, 33])], "event_id bigint, ts timestamp, arrival bigint")
     assert [r["is_late"] for r in late.mark_late(frame).orderBy("event_id").collect()] == [False, False, True, False, True]
