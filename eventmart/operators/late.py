@@ -39,7 +39,8 @@ def mark_late(
     own = F.floor(epoch_seconds(ts) / seconds).cast("bigint")
     reached = rows.groupBy(reaches.alias("step")).agg(F.min(position).alias("first"))
     # Steps some row asks for but none reached exactly take the minimum of the later steps.
-    asked = rows.select(own.alias("step")).distinct().select("step", F.lit(None).cast(reached.schema["first"].dataType).alias("first"))
+    nothing = F.lit(None).cast(reached.schema["first"].dataType)
+    asked = rows.select(own.alias("step")).distinct().select("step", nothing.alias("first"))
     steps = reached.unionByName(asked).groupBy("step").agg(F.min("first").alias("first"))
     closed = _suffix_minimum(steps).select(F.col("step").alias("__step"), F.col("first").alias("__closed"))
     # Written once, as it is measured and then joined; one row per step.
