@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventmart.llm import exact_dedup, line_dedup, packing, pareto_mix, url_filter
+from eventmart.llm import exact_dedup, line_dedup, near_dup, packing, pareto_mix, url_filter
 from eventmart.llm.common import table
 
 QUERIES: dict = {}
@@ -124,3 +124,9 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's url judged by rule or model."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return url_filter.url_filter(pages).select("page_id", "host", "path", "rule", "verdict", "block_score")
+
+
+@query("op10_near_dup")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its component of near copies, on two-word shingles."""
+    return near_dup.near_dup(table(spark, sf_dir, "documents"), width=2, percent=80)
