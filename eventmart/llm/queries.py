@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventmart.llm import exact_dedup, line_dedup, near_dup, packing, pareto_mix, url_filter
+from eventmart.llm import exact_dedup, html_diff, line_dedup, near_dup, packing, pareto_mix, topk, url_filter
 from eventmart.llm.common import table
 
 QUERIES: dict = {}
@@ -130,3 +130,29 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its component of near copies, on two-word shingles."""
     return near_dup.near_dup(table(spark, sf_dir, "documents"), width=2, percent=80)
+
+
+@query(
+    "op6_norm_bucket_topk",
+    """
+    with v as (
+      select vec_id, list_transform(embedding, x -> floor(256 * cast(x as double))) as v from embeddings
+      where embedding is not null and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0),
+    pairs as (
+      select q.vec_id as query_id, c.vec_id, cast(list_inner_product(q.v, c.v) as bigint) as score
+      from v q join v c on q.vec_id <> c.vec_id where q.vec_id % 50 = 0),
+    ranked as (
+      select query_id, vec_id, score, row_number() over (partition by query_id order by score desc, vec_id) as place from pairs)
+    select query_id, cast(place as integer) as rank, vec_id, score from ranked where place <= 5
+    """,
+)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best inner products of every fiftieth vector over all others."""
+    return topk.top_k(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 50 == 0, k=5)
+
+
+@query("op1_url_difference")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's main text."""
+    texts = html_diff.extract(table(spark, sf_dir, "pages"))
+    return texts.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
