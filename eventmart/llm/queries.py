@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventmart.llm import exact_dedup, html_diff, line_dedup, near_dup, packing, pareto_mix, topk, url_filter
-from eventmart.llm.common import table
+from eventmart.llm import exact_dedup, html_diff, line_dedup, lm_score, near_dup, packing, pareto_mix, topk, url_filter
+from eventmart.llm.common import fold, table
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -156,3 +156,13 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's main text."""
     texts = html_diff.extract(table(spark, sf_dir, "pages"))
     return texts.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query("op8_deleted_interpolation")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-probability of every document, by a model of six sevenths of them; fold 3 tunes the weights."""
+    part = fold(F.col("doc_id"), 7)
+    scored = lm_score.lm_scores(table(spark, sf_dir, "documents"), train=part != 2, tune=part == 3)
+    return scored.select(
+        "doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
