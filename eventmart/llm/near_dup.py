@@ -7,7 +7,7 @@
    bands with. A comparison looks at the signatures batch by batch and stops when the posterior probability
    that the similarity reaches the threshold falls below `MISS`; what survives is verified on the full sets.
 4. Buckets whose classes are not yet all in one component hold pairs that may still be links. Small buckets give their
-   pairs (a bounded number per class); for large ones, blocks of at most 128 by 128 classes are compared inside tasks, skipping
+   pairs (a bounded number per class); for large ones, blocks of at most 512 by 512 classes are compared inside tasks, skipping
    pairs already in one component, so that pairs of a large group are never emitted and none is left out.
 5. Connected components over all links.
 
@@ -34,7 +34,7 @@ STEP = 50
 MISS = 1e-6
 SMALL_BUCKET = 16
 STAR = 64
-BLOCK = 128
+BLOCK = 512
 #: Candidates up to this number (8 bytes each) are sent to all executors; beyond, texts are shuffled to them.
 SENT_IDS = 1_000_000
 
