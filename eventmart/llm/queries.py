@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventmart.llm import exact_dedup, html_diff, line_dedup, lm_score, near_dup, packing, pareto_mix, topk, url_filter
+from eventmart.llm import exact_dedup, html_diff, line_dedup, lm_score, near_dup, packing, pareto_mix, topk, toxicity, url_filter
 from eventmart.llm.common import fold, table
 
 QUERIES: dict = {}
@@ -166,3 +166,13 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(
         "doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
     )
+
+
+@query("op4_string_kernel_toxicity")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's toxicity by a machine that learned from four fifths of the labels."""
+    docs, labels = (table(spark, sf_dir, name) for name in ("documents", "labels"))
+    model = toxicity.train(docs, labels, learned=fold(F.col("doc_id"), 5) != 0)
+    return toxicity.toxicity(docs, model).select(
+        "doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
