@@ -13,7 +13,8 @@ A corpus has nearly as many distinct n-grams as tokens, so that rows per token a
 5. EM runs over a histogram of the tuning tokens (bucket and two quantised ratios), whose size does not grow with the input;
    then every document is scored from its kept counts.
 
-A bucket's own bits and 48 more tell keys apart; they grow with the input as the number of buckets does.
+Words are told apart by their bucket's bits and 48 more, pairs by 40 more; buckets, and with them these bits, grow in number
+with the input. Sorted keys travel as differences, in as few bytes as the largest needs.
 """
 
 from __future__ import annotations
@@ -31,7 +32,8 @@ from eventmart.session import written
 
 BLOCK_BYTES = 12_000_000
 BUCKET_KEYS = 1_500_000
-KEY_BITS = 48
+# Bytes of a key within its bucket, of words and of pairs.
+KEY_BYTES = (6, 5)
 LEVELS = 32
 STEP = 0.25  # of the logarithm to base 2, in the histogram
 ROUNDS = 60
@@ -46,7 +48,7 @@ SCORE = "doc_id long, train boolean, n_tokens long, n_known long, base_log doubl
 
 def squeezed(array: np.ndarray) -> bytes:
     raw = array.tobytes()
-    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True) if raw else b""
+    return len(raw).to_bytes(8, "little") + pa.Codec("zstd", compression_level=3).compress(raw, asbytes=True) if raw else b""
 
 
 def spread(data: bytes, kind) -> np.ndarray:
@@ -55,6 +57,21 @@ def spread(data: bytes, kind) -> np.ndarray:
     return np.frombuffer(pa.decompress(data[8:], int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True), dtype=kind)
 
 
+def pack_keys(keys: np.ndarray) -> bytes:
+    """Sorted keys as differences in byte planes; the first byte is the number of planes."""
+    steps = np.diff(keys, prepend=np.uint64(0))
+    width = max(1, (int(steps.max()).bit_length() + 7) // 8)
+    return bytes([width]) + steps.view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+
+
+def unpack_keys(data: bytes) -> np.ndarray:
+    width = data[0]
+    planes = np.frombuffer(data, np.uint8, offset=1).reshape(width, -1)
+    wide = np.zeros((planes.shape[1], 8), np.uint8)
+    wide[:, :width] = planes.T
+    return np.cumsum(wide.view(np.uint64).ravel(), dtype=np.uint64)
+
+
 def pack_counts(counts: np.ndarray) -> bytes:
     """A byte per count; counts of 255 and more follow with their places."""
     large = np.flatnonzero(counts >= 255).astype(np.uint32)
@@ -69,6 +86,17 @@ def unpack_counts(data: bytes) -> np.ndarray:
     return counts
 
 
+def hashes_of(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of each word, where each text's words begin), a few megabytes of text at a time."""
+    found, first, total = [], [np.zeros(1, np.int64)], 0
+    for part in portions(iter([pa.RecordBatch.from_arrays([text], names=["text"])]), most=1 << 21):
+        words = find_words(part.column("text"))
+        found.append(words.hash)
+        first.append(words.first[1:] + total)
+        total += len(words.hash)
+    return np.concatenate(found or [np.zeros(0, np.uint64)]), np.concatenate(first)
+
+
 def to_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Consecutive documents of a partition, up to BLOCK_BYTES of text (a longer text is a block alone)."""
     part, made, held, size = TaskContext.get().partitionId(), 0, [], 0
@@ -80,8 +108,7 @@ def to_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         train = np.concatenate([p.column("train").to_numpy(zero_copy_only=False) for p in parts]).astype(np.uint8)
         tune = np.concatenate([p.column("tune").to_numpy(zero_copy_only=False) for p in parts]).astype(np.uint8)
         texts = [x.encode("utf-8") for x in text.to_pylist()]
-        words = find_words(text)
-        counts = np.diff(words.first) + 1
+        counts = np.diff(hashes_of(text)[1]) + 1
         row = [
             pa.array([part * (1 << 32) + made], pa.int64()),
             pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
@@ -113,13 +140,13 @@ class Block:
         offsets = np.concatenate([[0], np.cumsum(sizes)])
         data = spread(row["text"], np.uint8)
         text = pa.LargeStringArray.from_buffers(len(sizes), pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(data))
-        words = find_words(text)
+        hashes, starts = hashes_of(text)
         # Each document's words and then its end; the end is also the context of a document's first token.
-        self.first = words.first + np.arange(len(words.first))
+        self.first = starts + np.arange(len(starts))
         tokens = np.full(self.first[-1], END, dtype=np.uint64)
         own = np.ones(len(tokens), dtype=bool)
         own[self.first[1:] - 1] = False
-        tokens[own] = words.hash
+        tokens[own] = hashes
         before = np.empty_like(tokens)
         before[1:], before[0] = tokens[:-1], END
         self.words, self.word = np.unique(tokens, return_inverse=True)
@@ -148,12 +175,11 @@ def send(bits: int):
                 train, tune = block.counts(block.train), block.counts(block.tune)
                 for kind, keys in enumerate((block.words, block.pairs)):
                     at = edges(keys, bits)
-                    short = (keys << np.uint64(bits)) >> np.uint64(64 - KEY_BITS)
-                    narrow = short.view(np.uint8).reshape(-1, 8)[:, : KEY_BITS // 8]
+                    short = (keys << np.uint64(bits)) >> np.uint64(64 - 8 * KEY_BYTES[kind])
                     for b in np.flatnonzero(np.diff(at)).tolist():
                         low, high = at[b], at[b + 1]
                         out.append(
-                            (kind, b, row["blk"], narrow[low:high].tobytes(), pack_counts(train[kind][low:high]), pack_counts(tune[kind][low:high]))
+                            (kind, b, row["blk"], pack_keys(short[low:high]), pack_counts(train[kind][low:high]), pack_counts(tune[kind][low:high]))
                         )
                 yield _rows(out, SENT)
 
@@ -170,11 +196,9 @@ def _rows(rows: list, schema: str) -> pa.RecordBatch:
 def add_up(table: pa.Table) -> pa.Table:
     """All blocks' counts of one bucket, added up by key; each block gets the totals of its own keys back."""
     rows = table.to_pylist()
-    width = KEY_BITS // 8
-    sizes = [len(r["keys"]) // width for r in rows]
-    wide = np.zeros((sum(sizes), 8), np.uint8)
-    wide[:, :width] = np.frombuffer(b"".join(r["keys"] for r in rows), np.uint8).reshape(-1, width)
-    known, back = np.unique(wide.view(np.uint64).ravel(), return_inverse=True)
+    keys = [unpack_keys(r["keys"]) for r in rows]
+    sizes = [len(k) for k in keys]
+    known, back = np.unique(np.concatenate(keys), return_inverse=True)
     totals = [
         np.bincount(back, np.concatenate([unpack_counts(r[c]) for r in rows]), len(known)).astype(np.int64) for c in ("train", "tune")
     ]
@@ -182,7 +206,8 @@ def add_up(table: pa.Table) -> pa.Table:
     out, distinct = [], int((totals[0] > 0).sum())
     for r, size, stop in zip(rows, sizes, stops):
         train, tune = (t[back[stop - size : stop]] for t in totals)
-        out.append((r["kind"], r["bucket"], r["blk"], pack_counts(train), pack_counts(tune), distinct))
+        packed = (squeezed(np.frombuffer(pack_counts(t), np.uint8)) for t in (train, tune))
+        out.append((r["kind"], r["bucket"], r["blk"], *packed, distinct))
         distinct = 0
     return pa.Table.from_batches([_rows(out, REPLY)])
 
@@ -197,7 +222,7 @@ def look_up(bits: int):
             for kind, keys in enumerate((block.words, block.pairs)):
                 filled = np.flatnonzero(np.diff(edges(keys, bits))).tolist()
                 for c in ("train", "tune"):
-                    totals.append(np.concatenate([unpack_counts(by_place[kind, b][c]) for b in filled]))
+                    totals.append(np.concatenate([unpack_counts(spread(by_place[kind, b][c], np.uint8).tobytes()) for b in filled]))
             c1, c2 = totals[0][block.word], totals[2][block.pair]
             tuning = np.repeat(block.tune, np.diff(block.first))
             d1, d2 = (c1 - totals[1][block.word])[tuning], (c2 - totals[3][block.pair])[tuning]
@@ -206,7 +231,7 @@ def look_up(bits: int):
             base = np.add.reduceat(np.log10(c1 + 1.0), block.first[:-1])
             flags = spread(row["flags"], np.uint8)
             packed = [squeezed(x) for x in (flags, sizes, known, base)]
-            packed += [squeezed(np.frombuffer(pack_counts(x), np.uint8)) for x in (c1, c2, d1, d2)]
+            packed += [planes(x) for x in (c1, c2, d1, d2)]
             ids = pa.array([row["ids"]], pa.list_(pa.int64()))
             out.append(pa.RecordBatch.from_arrays([ids, *(pa.array([x], pa.binary()) for x in packed)], names=[c.split()[0] for c in KEPT.split(", ")]))
         return pa.Table.from_batches(out) if out else _none()
@@ -232,9 +257,14 @@ def level_of(context: np.ndarray) -> np.ndarray:
     return np.minimum(np.frexp(context.astype(np.float64))[1], LEVELS - 1)
 
 
+def planes(counts: np.ndarray) -> bytes:
+    """Counts by byte planes, which compress well, as high bytes are mostly zero."""
+    return squeezed(counts.astype(np.uint64).view(np.uint8).reshape(-1, 8).T.copy())
+
+
 def counts_of(packed: bytes) -> np.ndarray:
     raw = spread(packed, np.uint8)
-    return unpack_counts(raw.tobytes()) if len(raw) else np.zeros(0, np.int64)
+    return raw.reshape(8, -1).T.copy().view(np.int64).ravel() if len(raw) else np.zeros(0, np.int64)
 
 
 def histogram(n: int, v: int):
