@@ -148,9 +148,3 @@ def mix(
             (F.col("__size") * (F.col("__sure") + F.coalesce("__more", F.lit(0)))).cast("long").alias("taken"),
         )
     )
-
-
-def repeat_taken(mixed: DataFrame, columns: list[str]) -> DataFrame:
-    """The mix as rows: each document as often as it was taken (`mix` takes whole copies)."""
-    copies = F.when(F.col("size") > 0, F.col("taken") / F.col("size")).otherwise(0).cast("int")
-    return mixed.withColumn("__copies", F.array_repeat(F.lit(0), copies)).select(*columns, F.explode("__copies").alias("__i")).drop("__i")
