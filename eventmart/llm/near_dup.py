@@ -407,7 +407,7 @@ def near_dup(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     return component.select(
         "doc_id",
         F.col("n").cast("long").alias("n_shingles"),
-        "component_id",
+        F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"),
         F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"),
     )
 

@@ -100,15 +100,14 @@ def rule_of(host: Column, path: Column, rules: tuple = RULES) -> tuple[Column, C
 
 
 def hashed_grams(host: Column, path: Column, buckets: int = BUCKETS) -> Column:
-    """Buckets of the distinct character n-grams of the framed host and path. A text too short for a size has none of it."""
+    """Buckets of the distinct character n-grams of the framed host and path. A text too short for a size is one gram as a whole."""
     framed = F.concat(F.lit("^"), host, F.lit("|"), path, F.lit("$"))
-    grams = [
-        F.transform(
-            F.sequence(F.lit(1), F.greatest(F.length(framed) - (size - 1), F.lit(1))),
-            lambda i, size=size: F.substring(framed, i, F.lit(size)),
-        )
-        for size in SIZES
-    ]
+
+    def of_size(size: int) -> Column:
+        places = F.sequence(F.lit(1), F.greatest(F.length(framed) - (size - 1), F.lit(1)))
+        return F.transform(places, lambda i: F.substring(framed, i, F.lit(size)))
+
+    grams = [of_size(size) for size in SIZES]
     return F.transform(F.array_distinct(F.concat(*grams)), lambda g: (F.crc32(g.cast("binary")) % buckets).cast("int"))
 
 
