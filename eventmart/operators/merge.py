@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -20,25 +21,34 @@ def last_per_key(batch: DataFrame, keys: Sequence[str], order: str | Sequence[st
     return last.select(*[c if c in keys else F.col(f"last.{c}").alias(c) for c in batch.columns])
 
 
+def _same_key(keys: Sequence[str], names: Sequence[str]) -> Column:
+    """Null keys are keys like any other."""
+    return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names)])
+
+
 def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], order: str | Sequence[str]) -> DataFrame:
     """Target rows without a new version, and the last new version of every key in the batch."""
     latest = last_per_key(batch, keys, order)
-    return target.join(latest, list(keys), "left_anti").select(*batch.columns).unionByName(latest)
+    names = [f"__new_{i}" for i in range(len(keys))]
+    new_keys = latest.select(*[F.col(k).alias(n) for k, n in zip(keys, names)])
+    kept = target.join(new_keys, _same_key(keys, names), "left_anti")
+    return kept.select(*batch.columns).unionByName(latest)
 
 
 def change_label(target: DataFrame, batch: DataFrame, keys: Sequence[str], label: str = "change") -> DataFrame:
     """Batch rows labelled `insert` for a new key, `update` or `same` against the target's row."""
     rest = [c for c in batch.columns if c not in keys]
-    old = target.select(*keys, F.struct(*rest).alias("__old"))
+    names = [f"__old_{i}" for i in range(len(keys))]
+    old = target.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], F.struct(*rest).alias("__old"))
     return (
-        batch.join(old, list(keys), "left")
+        batch.join(old, _same_key(keys, names), "left")
         .withColumn(
             label,
             F.when(F.col("__old").isNull(), "insert")
-            .when(F.struct(*rest) == F.col("__old"), "same")
+            .when(F.struct(*rest).eqNullSafe(F.col("__old")), "same")
             .otherwise("update"),
         )
-        .drop("__old")
+        .drop("__old", *names)
     )
 
 
