@@ -37,13 +37,27 @@ def dimension(
     max_rows: int = MAX_BROADCAST_ROWS,
     max_bytes: int = MAX_BROADCAST_BYTES,
 ) -> Dimension:
-    """Measure the snapshot once (a count and a byte sum, no row leaves the executors)."""
+    """Measure the snapshot once (counts and a byte sum, no row leaves the executors), and give each key one row.
+
+    Where a key has several rows, the one with the greatest attributes stays, compared in column order, so that every
+    lookup path gives a fact the same single row.
+    """
     keys = (on,) if isinstance(on, str) else tuple(on)
     width = reduce(
         lambda a, b: a + b,
         [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 16 for c in frame.columns],
     )
-    size = frame.agg(F.count(F.lit(1)).alias("rows"), F.sum(width.cast("bigint")).alias("bytes")).first()
+    whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    size = frame.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.sum(width.cast("bigint")).alias("bytes"),
+        F.count(F.when(whole, 1)).alias("keyed"),
+        F.count_distinct(*keys).alias("keys"),
+    ).first()
+    if size["keyed"] > size["keys"]:
+        rest = [c for c in frame.columns if c not in keys]
+        one = frame.groupBy(*keys).agg(F.max(F.struct(*rest)).alias("__row")) if rest else frame.select(*keys).distinct()
+        frame = one.select(*[c if c in keys else F.col(f"__row.{c}").alias(c) for c in frame.columns])
     return Dimension(frame, keys, size["rows"] <= max_rows and (size["bytes"] or 0) <= max_bytes)
 
 

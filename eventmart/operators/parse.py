@@ -14,15 +14,43 @@ from eventmart.functions import iso_utc
 CORRUPT = "_corrupt_record"
 
 
+def _as_text(kind: T.DataType) -> T.DataType:
+    """The layout with every scalar as text: the parser then takes numbers in quotes and numbers without alike."""
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, _as_text(f.dataType)) for f in kind.fields])
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(_as_text(kind.elementType))
+    return T.StringType()
+
+
+def _typed(column: Column, kind: T.DataType) -> Column:
+    """Text scalars as what the layout says; one that cannot be read is null and costs the record nothing else."""
+    if isinstance(kind, T.StructType):
+        members = [_typed(column[f.name], f.dataType).alias(f.name) for f in kind.fields]
+        return F.when(column.isNotNull(), F.struct(*members))
+    if isinstance(kind, T.ArrayType):
+        return F.transform(column, lambda x: _typed(x, kind.elementType))
+    return column if isinstance(kind, T.StringType) else column.try_cast(kind)
+
+
 def parse_json(
     df: DataFrame, schema: T.StructType, value: str = "value", keep: Sequence[str] = ()
 ) -> DataFrame:
-    """Tolerant parse: unreadable text leaves nulls and its own copy in `_corrupt_record`."""
+    """Tolerant parse: unreadable text leaves nulls and its own copy in `_corrupt_record`.
+
+    A null or blank text is unreadable too; of a null its copy is an empty text. Numbers may stand in quotes.
+    """
     # Members become columns through a generator. As a projection the parse would be copied into
     # every filter on a member that the optimizer moves below it, and run once per copy.
-    with_bad = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    with_bad = T.StructType([*_as_text(schema).fields, T.StructField(CORRUPT, T.StringType())])
     record = F.from_json(F.col(value), with_bad, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    return df.select(*keep, F.inline(F.array(record)))
+    nothing = F.struct(
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in with_bad.fields[:-1]],
+        F.coalesce(F.col(value), F.lit("")).alias(CORRUPT),
+    )
+    texts = df.select(*keep, F.inline(F.array(F.coalesce(record, nothing))))
+    typed = [_typed(F.col(f.name), f.dataType).alias(f.name) for f in schema.fields]
+    return texts.select(*keep, *typed, CORRUPT)
 
 
 def parse_json_strict(

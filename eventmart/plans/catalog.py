@@ -20,10 +20,11 @@ from eventmart.functions import (
     parse_iso,
 )
 from eventmart.operators import alerts, cdc, enrich, late, merge, parse, topn, totals, windows
-from eventmart.operators.lookup import dimension
+from eventmart.operators.lookup import dimension, lookup
 from eventmart.plans import balance, jobs
-from eventmart.session import written
+from eventmart.session import shared_folder, written
 from eventmart.sources import dims
+from eventmart.streaming.sinks import UpsertTable
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -120,10 +121,11 @@ def _changes(spark, sf, keep=()):
         strftime(ts, '%Y-%m-%d %H:%M:%S') as strloandate, state as nstate, amount as lamount,
         cast(user_id as bigint) as userid, dept_name as deptname, busi_area_code as "busiAreaCode",
         busi_area_name as "busiAreaName", admin_area_code as "adminAreaCode", admin_area_name as "adminAreaName"
-        from rows_ join org on dept_code = org_code where n_attrs = 5""",
+        from rows_ left join org on dept_code = org_code""",
 )
 def strict_parse(spark, sf):
-    known, _ = enrich.org_strict(_intents(spark, sf), _orgs(spark, sf))
+    """A null member is there all the same: rows without organisation or date pass as well."""
+    named = lookup(_intents(spark, sf), _orgs(spark, sf), "dept_code")
     text = F.to_json(
         F.struct(
             F.col("dept_code").alias("deptcode"),
@@ -141,16 +143,23 @@ def strict_parse(spark, sf):
         ),
         {"ignoreNullFields": "false"},
     )
-    return parse.parse_json_strict(known.select(text.alias("value")), schemas.TABLE_INTENT)
+    return parse.parse_json_strict(named.select(text.alias("value")), schemas.TABLE_INTENT)
 
 
-@query("select_all", "clicks", """select app_id as "appId", func_id as "funcId",
-        strftime(ts, '%Y-%m-%d %H:%M:%S') as "opDate", org_code as "orgCode", user_id as "userId"
-        from clicks where event_id % 50 <> 0 and event_id % 51 <> 0""")
+_UNSENT = {"INT": "logType orgLevel", "VARCHAR": "bossUserId errorMsg funcName opName orgName requestInput requestUrl srcIp supOrgCode supOrgName userName"}
+
+
+@query(
+    "select_all",
+    "clicks",
+    f"""select app_id as "appId", func_id as "funcId", strftime(ts, '%Y-%m-%d %H:%M:%S') as "opDate",
+        org_code as "orgCode", user_id as "userId", true as success,
+        {", ".join(f'cast(null as {kind}) as "{c}"' for kind, names in _UNSENT.items() for c in names.split())}
+        from clicks where event_id % 50 <> 0 and event_id % 51 <> 0""",
+)
 def select_all(spark, sf):
-    schema = schemas.RAW_CLICK
-    wanted = [f for f in schema.fields if f.name in ("appId", "funcId", "opDate", "orgCode", "userId")]
-    parsed = parse.parse_json(fixtures.click_json(_clicks(spark, sf)), type(schema)(wanted))
+    """Every column of the declared table; its time stands here as the text that it came as."""
+    parsed = parse.parse_json(fixtures.click_json(_clicks(spark, sf)), schemas.RAW_CLICK)
     good, _ = parse.split_valid(parsed, F.col("opDate").isNotNull())
     return spark.sql("select * from {log_table}", log_table=good)
 
@@ -168,6 +177,21 @@ def area_dim_invert(spark, sf):
     return dims.area_dimension(fixtures.area_raw(spark, sf))
 
 
+@query(
+    "dim_repeated_keys",
+    "item_records",
+    """select l_orderkey, l_linenumber, country, case when country in ('FRANCE', 'CHINA') then 'ZONE' else r_name end as area
+        from item_records left join nation on n_name = country left join region on n_regionkey = r_regionkey""",
+)
+def dim_repeated_keys(spark, sf):
+    """Countries that two areas name, and trailing commas, multiply no record."""
+    raw = fixtures.area_raw(spark, sf)
+    raw = raw.unionByName(raw.limit(1).select(F.lit("ZONE").alias(raw.columns[0]), F.lit("FRANCE,CHINA,,").alias(raw.columns[1])))
+    areas = dimension(dims.area_dimension(raw), "country")
+    records = fixtures.view(spark, sf, "item_records").select("l_orderkey", "l_linenumber", "country")
+    return lookup(records, areas, "country")
+
+
 @query("dim_replace", "org_next", "select * from org_next")
 def dim_replace(spark, sf):
     old, new = (dims.org_dimension(fixtures.view(spark, sf, v)) for v in ("org_raw", "org_raw_next"))
@@ -268,6 +292,44 @@ def to_clean_json(spark, sf):
         _orgs(spark, sf),
         ZONE,
         keep=("event_id",),
+    )[0]
+
+
+@query(
+    "quarantine_clean_clicks",
+    "clicks",
+    """select event_id, case when event_id % 50 = 0 or event_id % 53 = 0 or event_id % 59 = 0 then 'unreadable'
+        else 'sent' end as status from clicks""",
+)
+def quarantine_clean_clicks(spark, sf):
+    """Every text is sent on or in quarantine: cut, null and blank ones; members nobody reads cost no record."""
+    raw = fixtures.click_json(_clicks(spark, sf), keep=("event_id",))
+    i = F.col("event_id")
+    odd = F.regexp_replace("value", '"success":true', '"success":"true","logType":"2","orgLevel":""')
+    raw = raw.withColumn(
+        "value", F.when(i % 53 == 0, None).when(i % 59 == 0, "  ").when(i % 61 == 0, odd).otherwise(F.col("value"))
+    )
+    sent, bad = jobs.clean_clicks(raw, _functions(spark, sf), _users(spark, sf), _orgs(spark, sf), keep=("event_id",))
+    return sent.select("event_id", F.lit("sent").alias("status")).unionByName(
+        bad.select("event_id", F.lit("unreadable").alias("status"))
+    )
+
+
+@query(
+    "quarantine_connect_changes",
+    "rows_",
+    """select intent_id, case when intent_id % 53 = 0 or intent_id % 59 = 0 or (op_flag = 'U' and ts is null)
+            then 'quarantine' else 'sent' end as status
+        from rows_ where table_name = 'loan_intent' or intent_id % 53 = 0 or intent_id % 59 = 0""",
+)
+def quarantine_connect_changes(spark, sf):
+    """Texts that name no table since they cannot be read are in quarantine, not filtered out with other tables."""
+    raw = fixtures.cdc_json(_intents(spark, sf), ("intent_id",))
+    i = F.col("intent_id")
+    raw = raw.withColumn("value", F.when(i % 53 == 0, None).when(i % 59 == 0, "garbage").otherwise(F.col("value")))
+    sent, bad = jobs.connect_changes(raw, _orgs(spark, sf), "loan_intent", keep=("intent_id",))
+    return sent.select("intent_id", F.lit("sent").alias("status")).unionByName(
+        bad.select("intent_id", F.lit("quarantine").alias("status"))
     )
 
 
@@ -534,7 +596,7 @@ def table_intents(spark, sf):
 )
 def clean_items(spark, sf):
     known = dims.area_dimension(fixtures.area_raw(spark, sf)).where("area <> 'ASIA'")
-    return jobs.clean_items(fixtures.item_json(fixtures.view(spark, sf, "item_records")), dimension(known, "country"))
+    return jobs.clean_items(fixtures.item_json(fixtures.view(spark, sf, "item_records")), dimension(known, "country"))[0]
 
 
 # --- joins ------------------------------------------------------------------------------------
@@ -854,9 +916,15 @@ def _daily(spark, sf):
 
 @query("sink_upsert")
 def sink_upsert(spark, sf):
-    daily, keys = _daily(spark, sf), ["slot", "app_id", "func_id"]
-    target = merge.last_per_key(daily.where(F.col("day") < SPLIT_DAY), keys, "day")
-    return merge.upsert(target, daily.where(F.col("day") >= SPLIT_DAY), keys, "day")
+    """Four batches by day into an upsert table, the last one written twice, with a base made on the way."""
+    daily = _daily(spark, sf)
+    table = UpsertTable(f"{shared_folder(spark, 'upsert')}/t", ("slot", "app_id", "func_id"), "day", ("slot",), compact_every=3)
+    parts = daily.withColumn("__part", F.when(F.col("day") < SPLIT_DAY, 0).otherwise(1))
+    steps = [parts.where("__part = 0 and slot = '0'"), parts.where("__part = 0 and slot = '1'"), parts.where("__part = 1")]
+    for batch_id, step in enumerate([*steps, daily.limit(0)]):
+        table(step.drop("__part"), batch_id)
+    table(daily.limit(0), 3)
+    return table.read(spark)
 
 
 ORACLES["sink_upsert"] = with_views(

@@ -1,7 +1,7 @@
 """The jobs end to end: JSON text in, JSON text or report rows out.
 
 Each is a DataFrame function without a shuffle of its own (reports apart), so it serves a batch of
-texts and a stream of texts alike. Rows a job cannot process come back in a second frame.
+texts and a stream of texts alike. Rows a job cannot process come back in a second frame: every text is sent on, filtered by a rule, or in it.
 """
 
 from __future__ import annotations
@@ -41,12 +41,13 @@ def clean_clicks(
     how: str = "left",
     shift: bool = True,
     keep: Sequence[str] = (),
-) -> DataFrame:
-    """Raw click texts to clean click texts: one parse, three lookups, one serialisation.
+) -> tuple[DataFrame, DataFrame]:
+    """Raw click texts to clean click texts: one parse of the members used, three lookups, one serialisation.
 
     `how="inner"` drops clicks whose function or user is unknown, `left` leaves the name out.
     """
-    parsed, _ = parse.split_valid(parse.parse_json(raw, schemas.RAW_CLICK, keep=keep), F.lit(True))
+    used = schemas.struct(**{c: schemas.RAW_CLICK[c].dataType for c in ("appId", "funcId", "opDate", "orgCode", "userId")})
+    parsed, unreadable = parse.split_valid(parse.parse_json(raw, used, keep=keep), F.lit(True))
     clicks = parsed.select(
         *keep,
         F.col("appId").alias("app_id"),
@@ -68,7 +69,7 @@ def clean_clicks(
         F.col("user_id").alias("userId"),
         F.col("user_name").alias("userName"),
     )
-    return parse.clean_click_json(columns, tz, shift, keep=keep)
+    return parse.clean_click_json(columns, tz, shift, keep=keep), unreadable
 
 
 def click_report(
@@ -119,7 +120,8 @@ def connect_changes(
     raw: DataFrame, orgs: Dimension, table: str, tz: str = "UTC", keep: Sequence[str] = ()
 ) -> tuple[DataFrame, DataFrame]:
     """Change records of one table with organisations (default bucket) and loan dates in epoch ms."""
-    parsed = cdc.filter_table(cdc.parse_change(raw, keep=keep), table)
+    parsed, unreadable = parse.split_valid(cdc.parse_change(raw, keep=keep), F.lit(True))
+    parsed = cdc.filter_table(parsed, table).withColumn(parse.CORRUPT, F.lit(None).cast("string"))
     dated = parsed.withColumns(
         {
             "dept_code": F.col("strdeptcode.value"),
@@ -148,7 +150,7 @@ def connect_changes(
         *_org_members(),
         before.alias("beforeRecord"),
     ]
-    return parse.to_json_value(good, members, keep), bad.select(*parsed.columns)
+    return parse.to_json_value(good, members, keep), bad.select(*parsed.columns).unionByName(unreadable)
 
 
 def flatten_changes(
@@ -208,8 +210,8 @@ def table_intents(raw: DataFrame, orgs: Dimension, keep: Sequence[str] = ()) ->
     return texts, missed.unionByName(unreadable, allowMissingColumns=True)
 
 
-def clean_items(raw: DataFrame, areas: Dimension, keep: Sequence[str] = ()) -> DataFrame:
+def clean_items(raw: DataFrame, areas: Dimension, keep: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
     """Nested records as one text per item, with the record's time and its country's area."""
-    parsed, _ = parse.split_valid(parse.parse_json(raw, schemas.NESTED_ITEMS, keep=keep), F.lit(True))
+    parsed, unreadable = parse.split_valid(parse.parse_json(raw, schemas.NESTED_ITEMS, keep=keep), F.lit(True))
     items = enrich.area_of_items(parsed, areas, keep)
-    return parse.to_json_value(items, ["type", "score", "level", "area", "dt"], keep)
+    return parse.to_json_value(items, ["type", "score", "level", "area", "dt"], keep), unreadable

@@ -29,7 +29,7 @@ def _wall_clock(frame: DataFrame) -> DataFrame:
 
 def clean_stream(spark, sf, folder: str) -> DataStreamWriter:
     raw = fixtures.click_json(fixtures.stream_view(spark, sf, "clicks"))
-    clean = clean_clicks(raw, _functions(spark, sf), _users(spark, sf), _orgs(spark, sf), tz="UTC", how="inner")
+    clean, _ = clean_clicks(raw, _functions(spark, sf), _users(spark, sf), _orgs(spark, sf), tz="UTC", how="inner")
     return sinks.json_stream_writer(clean, f"{folder}/clean").option("checkpointLocation", f"{folder}/clean_checkpoint")
 
 

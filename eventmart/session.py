@@ -44,15 +44,22 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A fresh folder for checkpoints and written tables.
+    """A fresh folder for checkpoints and written tables, removed when the application ends.
 
-    Lies under `spark.checkpoint.dir`, the folder all machines of the cluster share. Only where
-    that is unset, as in local tests, a temporary folder of this machine is taken.
+    Lies under `spark.checkpoint.dir`, the folder all machines of the cluster share. Where that is unset,
+    one machine alone, as in local tests, takes a temporary folder of its own; a cluster cannot.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base is None:
-        return tempfile.mkdtemp(prefix=f"run-{name}-")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        if not spark.sparkContext.master.startswith("local") or "cluster" in spark.sparkContext.master:
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
+        base = tempfile.mkdtemp(prefix="run-")
+    folder = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(place)
+    files.deleteOnExit(place)
+    return folder
 
 
 def written(frame: DataFrame, name: str) -> DataFrame:

@@ -25,8 +25,12 @@ def org_dimension(raw: DataFrame, key: str = "k", value: str = "v") -> DataFrame
 
 
 def area_dimension(raw: DataFrame, key: str = "k", value: str = "v") -> DataFrame:
-    """`area -> "country,country"` entries turned round: one row per country."""
-    return raw.select(F.explode(F.split(F.col(value), ",")).alias("country"), F.col(key).alias("area"))
+    """`area -> "country,country"` entries turned round: one row per country and area that names it.
+
+    Trailing empty countries do not count. Where two areas name a country, `dimension` settles on one.
+    """
+    countries = F.split(F.regexp_replace(F.col(value), ",+$", ""), ",")
+    return raw.select(F.explode(countries).alias("country"), F.col(key).alias("area"))
 
 
 def read_jdbc(

@@ -63,10 +63,15 @@ def register_stream_table(
 ) -> DataFrame:
     """Declare JSON texts as the table `name`, with `rowtime` parsed from an ISO text member.
 
-    Rows without a readable time are left out. `strict` fails the query on an absent member.
+    Rows without a readable time are left out; `untimed` gives them. `strict` fails the query on an absent member.
     """
     parsed = (parse_json_strict if strict else parse_json)(texts, schema, keep=keep)
     rows = with_event_time(parsed, parse_iso(rowtime_from), delay, "rowtime").where("rowtime is not null")
     rows = rows.select(*keep, *[c for c in schema.names if c != rowtime_from], "rowtime")
     rows.createOrReplaceTempView(name)
     return rows
+
+
+def untimed(texts: DataFrame, schema: T.StructType, rowtime_from: str, keep: Sequence[str] = ()) -> DataFrame:
+    """The quarantine of a stream table: rows of unreadable text or time, with the text in `_corrupt_record` if that is it."""
+    return parse_json(texts, schema, keep=keep).where(parse_iso(rowtime_from).isNull())

@@ -118,3 +118,16 @@ def test_snapshots(spark):
 def test_area_inversion(spark):
     raw = spark.createDataFrame([("A", "US,CA"), ("B", "DE")], "k string, v string")
     assert rows(dims.area_dimension(raw)) == [("CA", "A"), ("DE", "B"), ("US", "A")]
+
+
+def test_repeated_dimension_keys_multiply_no_fact(spark):
+    """Both lookup paths give each fact one row, the same one."""
+    raw = spark.createDataFrame([("A", "x,y,,"), ("B", "y,z")], "k string, v string")
+    facts = spark.createDataFrame([("x",), ("y",), ("y",), ("",), (None,)], "country string")
+    from eventmart.sources import dims
+
+    for bound in (0, 1000):
+        areas = dimension(dims.area_dimension(raw), "country", max_rows=bound)
+        assert areas.small == (bound > 0)
+        got = sorted(map(tuple, lookup(facts, areas).collect()), key=str)
+        assert got == sorted([("x", "A"), ("y", "B"), ("y", "B"), ("", None), (None, None)], key=str)
