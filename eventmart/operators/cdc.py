@@ -44,6 +44,31 @@ def unwrap(parsed: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     )
 
 
+def unwrap_enriched(df: DataFrame, value: str = "value", keep: Sequence[str] = ()) -> DataFrame:
+    """Enriched change texts as typed rows: both images, change flags and the organisation of the current one."""
+    parsed = parse_json(df, schemas.ENRICHED_CHANGE, value, keep)
+    cells = {c: n for c, n in NAMES.items() if c != "strloandate"}
+    return parsed.select(
+        *keep,
+        F.col("tableName").alias("table_name"),
+        F.col("opFlag").alias("op_flag"),
+        F.col("strloandate").alias("event_ms"),
+        *[F.col(f"{field}.value").alias(name) for field, name in cells.items()],
+        *[
+            F.coalesce(F.col(f"{field}.isupdate"), F.lit(False)).alias(f"{NAMES[field]}_changed")
+            for field in ("nstate", "lamount", "nborrowmode")
+        ],
+        F.col("detpname").alias("dept_name"),
+        F.col("busiAreaCode").alias("busi_area_code"),
+        F.col("busiAreaName").alias("busi_area_name"),
+        F.col("adminAreaCode").alias("admin_area_code"),
+        F.col("adminAreaName").alias("admin_area_name"),
+        F.col("beforeRecord.strloandate").alias("old_event_ms"),
+        *[F.col(f"beforeRecord.{field}.value").alias(f"old_{name}") for field, name in cells.items()],
+        CORRUPT,
+    )
+
+
 def unwrap_before(parsed: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Cells of the before image as `old_*` columns, null where a record has none."""
     return parsed.select(

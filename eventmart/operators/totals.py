@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -57,6 +58,20 @@ def running_delta(rows: DataFrame, keys: Sequence[str] = ("day", "dept_code")) -
     return totals(rows.where(~unknown_operation(known=("I", "U"))), keys, delta_count(), delta_amount())
 
 
+def with_last_seen(
+    report: DataFrame, rows: DataFrame, keys: Sequence[str], attributes: Sequence[str], order: Sequence[str]
+) -> DataFrame:
+    """The report with each key's attributes as last seen: those of the greatest `order` among its rows.
+
+    Rows are combined per key before the shuffle, as in every report.
+    """
+    last = rows.groupBy(*keys).agg(F.max(F.struct(*order, *attributes)).alias("__last"))
+    names = [f"__key_{i}" for i in range(len(keys))]
+    last = last.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], *[F.col(f"__last.{a}").alias(a) for a in attributes])
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names)])
+    return report.join(last, same).drop(*names)
+
+
 def net_totals(pairs: DataFrame, keys: Sequence[str] = ("day", "dept_code")) -> DataFrame:
     """Totals over signed pairs: a before image leaves the department it names."""
     step = F.when(F.col("image") == "before", -1).otherwise(1)

@@ -500,6 +500,24 @@ def connect_intents(spark, sf):
     return jobs.connect_intents(text, _orgs(spark, sf), keep=("intent_id",))[0]
 
 
+@query(
+    "dept_report_from_text",
+    "rows_ org",
+    f"""select window_start, window_start + interval '10' second as window_end, dept_code, count(*) as lend_cnt,
+        cast(sum(amount) as bigint) as lend_amount, max(ts) as last_ts,
+        {", ".join(f"max({c}) as {c}" for c in enrich.OTHER_ORG)}, arg_max(fund_code, (ts, user_id, fund_code)) as fund_code
+        from (select r.*, o.*, make_timestamp(cast(floor(epoch(ts) / 10) * 10 as bigint) * 1000000) as window_start
+            from rows_ r join {_FULL} o on o.org_code = r.dept_code left join {_FULL} p on p.org_code = r.old_dept_code
+            where ts is not null and (old_dept_code is null or p.org_code is not null)) x
+        group by window_start, dept_code""",
+)
+def dept_report_from_text(spark, sf):
+    """Intents from text to text to the department's report, with every attribute."""
+    raw = fixtures.flat_intent_json(_intents(spark, sf), before=True)
+    texts, _ = jobs.connect_intents(raw, _orgs(spark, sf))
+    return jobs.dept_report(texts)[0]
+
+
 def _cell_json(name: str, value: str, flag: str = "false", quote: bool = False) -> str:
     """SQL for `"name":{"value":..,"isupdate":..}`; a null value leaves the member out."""
     shown = f"""'"value":"' || {value} || '",'""" if quote else f"""'"value":' || {value} || ','"""
@@ -553,6 +571,25 @@ def connect_changes(spark, sf):
     return jobs.connect_changes(text, _orgs(spark, sf), "loan_intent", ZONE, keep=("intent_id",))[0]
 
 
+@query(
+    "delta_report_from_text",
+    "rows_ org",
+    f"""select day, dept_code, count(*) as lend_cnt,
+        cast(sum(case when op_flag = 'I' then amount
+            else amount - case when old_state in (4, 5, 7, 9) then old_amount else 0 end end) as bigint) as lend_amount,
+        count(distinct user_id) as user_cnt, {", ".join(f"max(o.{c}) as {c}" for c in enrich.OTHER_ORG)},
+        arg_max(fund_code, (ts, intent_id)) as fund_code
+        from rows_ join {_filled('o', 'dept_code')} o on o.k = dept_code
+        where table_name = 'loan_intent' and day = '{REPORT_DAY}' and state in (4, 5, 7, 9) and op_flag in ('I', 'U')
+            and (state_changed or amount_changed or fund_code_changed or op_flag = 'I') group by 1, 2""",
+)
+def delta_report_from_text(spark, sf):
+    """The report over the texts that the enrichment of changes writes."""
+    changes = fixtures.cdc_json(_intents(spark, sf))
+    texts, _ = jobs.connect_changes(changes, _orgs(spark, sf), "loan_intent", ZONE)
+    return jobs.delta_report(texts, REPORT_DAY, ZONE)[0]
+
+
 @query(
     "flatten_changes",
     "rows_ org",

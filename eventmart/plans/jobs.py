@@ -12,8 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventmart import schemas
-from eventmart.functions import epoch_ms, local_text
-from eventmart.operators import cdc, enrich, parse, windows
+from eventmart.functions import epoch_ms, epoch_to_text, local_text
+from eventmart.operators import cdc, enrich, parse, totals, windows
 from eventmart.operators.lookup import Dimension, lookup
 
 ID_KEYS = ("app_id", "func_id", "org_code")
@@ -153,6 +153,33 @@ def connect_changes(
     return parse.to_json_value(good, members, keep), bad.select(*parsed.columns).unionByName(unreadable)
 
 
+REPORT_ATTRIBUTES = (*ORG_MEMBERS, "fund_code")
+
+
+def delta_report(texts: DataFrame, day: str, tz: str = "UTC") -> tuple[DataFrame, DataFrame]:
+    """Enriched change texts to the day's totals per department, and the unreadable texts.
+
+    Counts inserts and relevant updates in counted states; an update is corrected by its before image. The ten columns
+    of the report: day, department and its name, areas, fund as last seen, count, amount, distinct users.
+    """
+    rows, unreadable = parse.split_valid(cdc.unwrap_enriched(texts), F.lit(True))
+    relevant = rows.where(cdc.relevant_change(day, tz) & cdc.counted_state() & F.col("op_flag").isin("I", "U"))
+    dated = relevant.withColumn("day", epoch_to_text("event_ms", "yyyy-MM-dd", tz))
+    keys = ("day", "dept_code")
+    report = totals.running_delta(dated, keys)
+    return totals.with_last_seen(report, dated, keys, REPORT_ATTRIBUTES, ("event_ms", "intent_id")), unreadable
+
+
+def dept_report(texts: DataFrame, seconds: int = 10, tz: str = "UTC") -> tuple[DataFrame, DataFrame]:
+    """Flat intent texts to tumbling reports per department with all attributes, and the rows without text or date.
+
+    Windows follow the loan date; a record without one (0) is set aside before the window.
+    """
+    rows, bad = parse.split_valid(parse.parse_intent(texts), parse.valid_event_time())
+    timed = rows.withColumn("ts", F.timestamp_millis("event_ms").cast("timestamp_ntz"))
+    return windows.tumble_report(timed, list(REPORT_ATTRIBUTES), seconds, tie="user_id"), bad
+
+
 def flatten_changes(
     raw: DataFrame, orgs: Dimension, tz: str = "UTC", keep: Sequence[str] = ()
 ) -> tuple[DataFrame, DataFrame]:

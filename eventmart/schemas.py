@@ -86,6 +86,13 @@ CDC_COLUMNS = {
 }
 CDC_RECORD = struct(tableName=STRING, opFlag=STRING, **CDC_COLUMNS, beforeRecord=struct(**CDC_COLUMNS))
 
+# A change record after enrichment: the loan date is a bare number, the organisation stands beside the cells.
+_ENRICHED = {
+    **{**CDC_COLUMNS, "strloandate": LONG},
+    **{c: STRING for c in ("detpname", "busiAreaCode", "busiAreaName", "adminAreaCode", "adminAreaName")},
+}
+ENRICHED_CHANGE = struct(tableName=STRING, opFlag=STRING, **_ENRICHED, beforeRecord=struct(**_ENRICHED))
+
 TABLE_INTENT = struct(
     deptcode=STRING,
     intentID=STRING,
