@@ -8,11 +8,11 @@ from collections.abc import Callable, Sequence
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from eventmart.operators.lookup import Dimension, dimension
+from eventmart.session import written
 from eventmart.sources.dims import merge_snapshot, replace_snapshot
-from eventmart.streaming.sinks import BatchWriter
+from eventmart.streaming.sinks import BatchWriter, finished, remove
 
 log = logging.getLogger(__name__)
 
@@ -45,19 +45,17 @@ class RefreshedDimension:
         return self._held
 
     def _previous(self, spark: SparkSession, batch_id: int) -> DataFrame | None:
-        try:
-            kept = spark.read.parquet(self.path).where(F.col("batch_id") < batch_id)
-        except PySparkException as error:
-            if error.getCondition() == "PATH_NOT_FOUND":
-                return None
-            raise
-        last = kept.agg(F.max("batch_id")).first()[0]
-        return None if last is None else spark.read.parquet(f"{self.path}/batch_id={last}")
+        """The newest snapshot of an earlier batch; of those before it, one is kept."""
+        kept = sorted(n for n in finished(spark, self.path, "batch_id") if n < batch_id)
+        for old in kept[:-2]:
+            remove(spark, f"{self.path}/batch_id={old}")
+        return spark.read.parquet(f"{self.path}/batch_id={kept[-1]}") if kept else None
 
     def _refresh(self, spark: SparkSession, batch_id: int) -> None:
         previous = self._previous(spark, batch_id)
         try:
-            new = self.load(spark)
+            # Written first: the source is asked once, whether the snapshot is empty is asked of the copy.
+            new = written(self.load(spark), "loaded")
             if previous is not None:
                 new = merge_snapshot(previous, new, self.on) if self.merge else replace_snapshot(previous, new)
             target = f"{self.path}/batch_id={batch_id}"

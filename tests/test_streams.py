@@ -194,6 +194,13 @@ def test_late_router(spark, folder):
     got = spark.read.parquet(f"{folder}/routed/late")
     assert sorted(r["s"] for r in got.collect()) == sorted(expected) == [5, 21]
     assert spark.read.parquet(f"{folder}/routed/on_time").count() == sum(map(len, seconds)) - len(expected)
+    # Report and late side come from one decision: together they are the input.
+    routed = LateRouter(f"{folder}/routed")
+    on_time = spark.read.parquet(f"{folder}/routed/on_time")
+    assert sorted(r["s"] for r in on_time.unionByName(got).collect()) == sorted(s for batch in seconds for s in batch)
+    counts = on_time.groupBy(F.floor(F.col("s") / 10).alias("w")).count()
+    report = windows.tumble_report(routed.on_time(spark).withColumns({"amount": F.lit(1), "dept": F.lit("d")}), [], dept="dept", tie="s")
+    assert sorted(r["lend_cnt"] for r in report.collect()) == sorted(r["count"] for r in counts.collect())
     # A repeated batch replaces its own output.
     again = spark.createDataFrame([(5,), (29,), (12,)], "s bigint").withColumn(
         "ts", F.timestamp_seconds(F.lit(1_704_067_200) + F.col("s"))
