@@ -280,17 +280,22 @@ def open_buckets(buckets: DataFrame, comps: DataFrame) -> DataFrame:
     return rows.join(mixed_keys.select("key"), "key")
 
 
-def block_links(rows: DataFrame, homes: DataFrame, full: DataFrame, percent: int) -> DataFrame:
+def block_links(rows: DataFrame, comps: DataFrame, full: DataFrame, percent: int) -> DataFrame:
     """Links between components in large open buckets.
 
-    Classes are laid out in blocks by home (their component, or that of their leader) and by whether they are still alone, so
-    that classes of one group meet in few blocks. Pairs of blocks that share a bucket are compared once.
+    Classes are laid out in blocks by the largest bucket that they are in, so that classes of one group meet in few blocks.
+    Large components have blocks of their own, whose pairs with themselves need no look; the classes of small ones and
+    those still alone share blocks. Pairs of blocks that share a bucket are compared once.
     """
-    placed = rows.select("key", "rep", "comp").join(homes, "rep")
-    classes = placed.select("rep", "comp", "home", "alone").distinct()
-    sizes = classes.groupBy("home", "alone").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
-    block = F.xxhash64("home", "alone", F.pmod(F.xxhash64("rep"), "blocks"))
-    placed = written(placed.join(sizes, ["home", "alone"]).select("key", "rep", "comp", block.alias("c")), "blocks")
+    sizes = comps.groupBy("comp").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= BLOCK // 8)
+    own = sizes.select("comp", F.col("comp").alias("own"))
+    classes = rows.groupBy("rep", "comp").agg(F.max(F.struct("m", "key")).alias("at"))
+    classes = classes.join(own, "comp", "left").select("rep", "comp", F.col("at.key").alias("home"), F.coalesce("own", F.lit(-1)).alias("own"))
+    classes = written(classes, "classes")
+    blocks = classes.groupBy("home", "own").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
+    block = F.xxhash64("home", "own", F.pmod(F.xxhash64("rep"), "blocks"))
+    classes = written(classes.join(blocks, ["home", "own"]).select("rep", "comp", block.alias("c")), "classes")
+    placed = rows.select("key", "rep").join(classes, "rep")
     per_key = placed.groupBy("key", "c").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
     one = per_key.select("key", *(F.col(x).alias(f"{x}1") for x in ("c", "low", "high")))
     two = per_key.select("key", *(F.col(x).alias(f"{x}2") for x in ("c", "low", "high")))
@@ -300,7 +305,6 @@ def block_links(rows: DataFrame, homes: DataFrame, full: DataFrame, percent: int
         .select("c1", "c2")
         .distinct()
     )
-    classes = placed.select("c", "rep", "comp").distinct()
     left = pairs.join(classes, pairs["c1"] == classes["c"]).select("c1", "c2", "rep", "comp", F.lit(0).alias("side"))
     right = (
         pairs.where("c1 <> c2")
@@ -356,20 +360,8 @@ def find_links(source: DataFrame, bands: DataFrame, width: int, percent: int) ->
     other = small.select("key", F.col("rep").alias("lead"), F.col("comp").alias("lead_comp"))
     pairs = small.join(other, "key").where("lead < rep and comp <> lead_comp").select("lead", "rep").distinct()
     pairs = pairs.join(first, ["rep", "lead"], "left_anti")
-    alone = F.col("comp_size") == 1
-    sizes = comps.groupBy("comp").agg(F.count(F.lit(1)).alias("comp_size"))
-    led = with_comp(first, comps, "lead", "lead_comp").select("rep", "lead_comp")
-    homes = (
-        rows.where(F.col("m") > SMALL_BUCKET)
-        .select("rep", "comp")
-        .distinct()
-        .join(sizes, "comp", "left")
-        .withColumn("comp_size", F.coalesce("comp_size", F.lit(1)))
-        .join(led, "rep", "left")
-        .select("rep", alone.alias("alone"), F.when(alone, F.coalesce("lead_comp", "comp")).otherwise(F.col("comp")).alias("home"))
-    )
     large = rows.where(F.col("m") > SMALL_BUCKET)
-    links3 = star_links(pairs, full, percent).unionByName(block_links(large, homes, full, percent))
+    links3 = star_links(pairs, full, percent).unionByName(block_links(large, comps, full, percent))
     return components(links.unionByName(links3))
 
 
