@@ -51,6 +51,13 @@ BLOCKED = (
     "https://content-farm.example.net/fr/6",
     "https://win-prizes.example.com/claim",
     "https://loans-fast-cash.example.net/apply",
+    "https://blog.xxx-adult.example.com/en/9",
+    "https://blog.adult-films.example.org/es/70",
+    "https://www.free-bets.example.org/fr/31",
+    "https://m.pills-cheap.example.org/de/8",
+    "http://blog.casino-slots.example.org/en/45.html",
+    "https://spam-links.example.org/en/2",
+    "https://ads-click.example.org/track/5",
 )
 ALLOWED = (
     "https://www.library.example.com/en/12",
@@ -77,6 +84,20 @@ ALLOWED = (
     "https://forum.cycling.example.net/de/71",
     "https://www.poetry.example.com/en/415",
     "https://archive.letters.example.net/en/6",
+    "https://tables.example.org/en/33",
+    "https://thanks.example.org/fr/2",
+    "http://thursday.example.org/de/190",
+    "https://nations.example.org/en/5107",
+    "https://thinkers.example.com/en/4?utm_source=feed",
+    "https://theatre.example.net/es/88#top",
+    "http://thunder.example.com/en/3301.html",
+    "https://stations.example.org/en/64/",
+    "https://m.heather.example.com/en/12?page=2",
+    "https://notable.example.org/de/7021",
+    "http://other.example.com/es/15",
+    "https://thatch.example.net/fr/640",
+    "https://blog.weaver.example.org/en/2",
+    "https://www.hedges.example.org/en/918",
 )
 LABELLED = tuple((url, 1) for url in BLOCKED) + tuple((url, 0) for url in ALLOWED)
 
