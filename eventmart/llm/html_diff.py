@@ -20,6 +20,7 @@ import json
 import re
 import zlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -38,40 +39,80 @@ ASIDE = frozenset("nav header footer aside form button menu dialog head fieldset
 ARTICLE = frozenset("article main".split())
 # A block end tag may be left out: these close an open one of their own kind.
 SELF_CLOSING = frozenset("p li dt dd tr td th option thead tbody tfoot".split())
-# Words in class, id or role that declare an element to be something other than the article.
-ASIDE_WORDS = frozenset(
-    "ad ads adv advert adverts advertisement advertising banner banners sponsor sponsored promo promotion nav navbar navigation "
-    "menu menus breadcrumb breadcrumbs header masthead footer colophon sidebar sidebars aside complementary widget widgets cookie "
-    "cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login comment comments "
-    "commentlist reply replies respond disqus discussion related recommended share sharing social form search pagination pager "
-    "toolbar contentinfo copyright legal disclaimer paywall".split()
+# Words in class, id or role that declare an element to be something other than the article, whatever it holds ...
+NEVER_WORDS = frozenset(
+    "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion cookie cookies consent gdpr popup modal "
+    "newsletter subscribe subscription signup login comment comments commentlist reply replies respond disqus discussion related "
+    "recommended share sharing paywall".split()
 )
+# ... and those that a wrapper around the article, or a part of it, may carry as well (`with-sidebar`, `article-header`).
+OUTER_WORDS = frozenset(
+    "banner banners nav navbar navigation menu menus breadcrumb breadcrumbs header masthead footer colophon sidebar sidebars aside "
+    "complementary widget widgets notice notices alert overlay social form search pagination pager toolbar contentinfo copyright "
+    "legal disclaimer".split()
+)
+# What a part of the article may be called in spite of that.
+_PART_WORDS = frozenset("header form legal copyright search".split())
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 _NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
+_HIDDEN = re.compile(r"aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
 _WORD = re.compile(r"[A-Za-z][a-z]*|[A-Z]+(?![a-z])")
 _SPACE = re.compile(r"\s+")
+_QUOTED = re.compile(r"\"[^\"]*\"|'[^']*'")
 LINES = "page_id long, url string, host string, path string, packed binary"
 TEXT = "page_id long, url string, text string"
+#: How a line's surroundings declare it: the article, the main part, neither.
+IN_ARTICLE, IN_MAIN, ANYWHERE = 2, 1, 0
+
+
+class _Open(NamedTuple):
+    tag: str
+    inside: int
+    never: bool
+    outer: bool
+
+
+def _words(attributes: str) -> set[str]:
+    return {w.lower() for m in _NAMED.finditer(attributes) for w in _WORD.findall(m[1] or m[2] or m[3] or "")}
 
 
-def lines_of(page: str) -> list[tuple[str, bool, bool]]:
-    """(text, in a declared article, declared to be something else) of each block with text, in page order.
+def _hidden(attributes: str) -> bool:
+    return bool(re.search(r"(?:^|\s)hidden(?:\s|=|/|$)", _QUOTED.sub("", attributes)) or _HIDDEN.search(attributes))
+
+
+def _entered(tag: str, attributes: str, around: _Open) -> _Open:
+    """What an element declares about its lines, given what is around it."""
+    words = _words(attributes) if attributes else set()
+    inside, never, outer = around.inside, around.never, around.outer
+    if tag == "article":
+        inside, outer = IN_ARTICLE, False  # whatever a wrapper is called, this is an article
+    elif tag == "main" or "role" in attributes and "main" in words:
+        inside, outer = max(inside, IN_MAIN), False
+    # A header inside the article holds its title; one outside is the site's.
+    never = never or tag in ASIDE and not (tag == "header" and around.inside) or _hidden(attributes)
+    if tag not in ("html", "body"):
+        never = never or bool(words & NEVER_WORDS)
+        if tag not in ARTICLE:
+            outer = outer or bool(words & (OUTER_WORDS - _PART_WORDS if inside else OUTER_WORDS))
+    return _Open(tag, inside, never, outer)
+
+
+def lines_of(page: str) -> list[tuple[str, int, bool]]:
+    """(text, how its surroundings declare it, declared to be something else) of each block with text, in page order.
 
     A block ends at each tag that is no inline one. Character references are decoded, white space becomes one space. Tags
     left open end with the page; end tags without a start are passed over; a `<` that begins no tag is text.
     """
-    lines: list[tuple[str, bool, bool]] = []
+    lines: list[tuple[str, int, bool]] = []
     parts: list[str] = []
-    # (tag, article declared around, something else declared around)
-    stack: list[tuple[str, bool, bool]] = [("", False, False)]
+    stack = [_Open("", ANYWHERE, False, False)]
 
     def end_block() -> None:
         if parts:
             text = _SPACE.sub(" ", html.unescape("".join(parts))).strip()
             parts.clear()
             if text:
-                lines.append((text, stack[-1][1], stack[-1][2]))
+                lines.append((text, stack[-1].inside, stack[-1].never or stack[-1].outer))
 
     at = 0
     while True:
@@ -80,61 +121,40 @@ def lines_of(page: str) -> list[tuple[str, bool, bool]]:
         if not found:
             break
         at = found.end()
-        tag = (found[2] or "").lower()
+        tag, closing, attributes = (found[2] or "").lower(), bool(found[1]), found[3] or ""
         if not tag:
             if found[0].startswith("<![CDATA["):
                 parts.append(html.escape(found[0][9:].removesuffix("]]>")))
             continue
-        if tag in INLINE:
-            if tag == "br":
-                parts.append(" ")
-            elif not found[1] and not _aside_words(found[3]):
-                continue
-            elif tag in VOID:
-                continue
-            elif found[1] and not any(open_[0] == tag for open_ in stack[1:]):
-                continue
         if tag == "br":
+            parts.append(" ")
+            continue
+        if tag in INLINE:
+            # An inline element that is declared to be something else, as `<span class="ad">`, leaves its block as it is.
+            if not closing and tag not in VOID and attributes and (_words(attributes) & NEVER_WORDS or _hidden(attributes)):
+                close = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
+                at = close.end() if close else at
             continue
         end_block()
-        if found[1]:
+        if closing:
             for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth][0] == tag:
+                if stack[depth].tag == tag:
                     del stack[depth:]
                     break
-                if tag in SELF_CLOSING | INLINE and stack[depth][0] in ARTICLE | ASIDE | {"div", "section", "table"}:
+                if tag in SELF_CLOSING and stack[depth].tag in ARTICLE | ASIDE | {"div", "section", "table"}:
                     break
-            continue
-        if tag in RAW:
-            if not found[3].rstrip().endswith("/"):
+        elif tag in RAW:
+            if not attributes.rstrip().endswith("/"):
                 close = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
                 at = close.end() if close else len(page)
-            continue
-        if tag in VOID:
-            continue
-        if tag in SELF_CLOSING and stack[-1][0] == tag:
-            stack.pop()
-        _, inside, other = stack[-1]
-        inside = inside or tag in ARTICLE or "main" in _named_words(found[3], "role")
-        # A header inside the article holds its title; one outside is the site's.
-        declared = tag in ASIDE and not (tag == "header" and stack[-1][1])
-        stack.append((tag, inside, other or declared or _aside_words(found[3])))
+        elif tag not in VOID:
+            if tag in SELF_CLOSING and stack[-1].tag == tag:
+                stack.pop()
+            stack.append(_entered(tag, attributes, stack[-1]))
     end_block()
     return lines
 
 
-def _named_words(attributes: str, only: str = "") -> set[str]:
-    words: set[str] = set()
-    for m in _NAMED.finditer(attributes):
-        if not only or m[0].lower().startswith(only):
-            words.update(w.lower() for w in _WORD.findall(m[1] or m[2] or m[3] or ""))
-    return words
-
-
-def _aside_words(attributes: str) -> bool:
-    return bool(attributes) and (bool(_named_words(attributes) & ASIDE_WORDS) or bool(_HIDDEN.search(attributes)))
-
-
 def shared_lines(one: list[str], other: list[str]) -> set[int]:
     """Positions in `one` of a longest common subsequence with `other`, in memory linear in the lines (Hirschberg)."""
     found: set[int] = set()
@@ -174,9 +194,9 @@ def shared_lines(one: list[str], other: list[str]) -> set[int]:
 
 def main_text(lines: list, pair: list | None) -> str:
     """The page's text: the declared article's lines, else those that the nearest page does not share."""
-    declared = any(inside and not other for _, inside, other in lines)
-    own = [text for text, inside, other in lines if not other and (inside or not declared)]
-    if not declared and pair:
+    declared = max((inside for _, inside, other in lines if not other), default=ANYWHERE)
+    own = [text for text, inside, other in lines if not other and inside >= declared]
+    if declared == ANYWHERE and pair:
         # Only lines that the pair has at all can be shared.
         theirs = [text for text, _, _ in pair]
         common = set(own) & set(theirs)

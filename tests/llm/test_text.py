@@ -36,6 +36,15 @@ def test_declared_article_is_whole():
     assert html_diff.main_text(lines, lines) == "T\n\nx"
 
 
+def test_wrappers_do_not_hide_the_article():
+    page = """<body class="has-sidebar comments-open"><div class="content with-sidebar"><main><nav>n</nav>
+        <article class="post"><div class="article-header"><h1>T</h1></div><p>x<span class="ad">buy</span> y</p>
+        <div class="share-buttons">s</div><div class="notice">n</div></article>
+        <section id="comments"><ol><li><article class="comment-body">c</article></ol></section><p>in main</p></main></div></body>"""
+    assert html_diff.main_text(html_diff.lines_of(page), None) == "T\n\nx y"
+    assert html_diff.main_text(html_diff.lines_of("<p>out</p><main><p>in</p><div hidden>h</div></main>"), None) == "in"
+
+
 def test_shared_lines_of_unmarked_pages_go(spark):
     site = "<div>Home</div><div>About us</div>{}<div>All rights</div>"
     rows = [
