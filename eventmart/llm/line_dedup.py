@@ -38,10 +38,12 @@ def dropped_lines(docs: DataFrame, min_chars: int = 10, min_docs: int = 2) -> Da
         per_document.groupBy("h1", "h2")
         .agg(F.count(F.lit(1)).alias("n_docs"), F.min("doc_id").alias("first_doc"))
         .where(F.col("n_docs") >= min_docs)
-        .select("h1", "h2", "first_doc")
+        .select("h1", "h2", F.xxhash64("h1", "h2").alias("h3"), "first_doc")
     )
+    # The third key makes the join deal both sides anew: only then can adaptive execution split a very frequent line.
     return (
-        lines.join(shared, ["h1", "h2"])
+        lines.withColumn("h3", F.xxhash64("h1", "h2"))
+        .join(shared, ["h1", "h2", "h3"])
         .where(~F.col("doc_id").eqNullSafe(F.col("first_doc")))
         .groupBy("doc_id", "__th")
         .agg(F.collect_set("pos").alias("drop"))

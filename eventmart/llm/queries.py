@@ -136,8 +136,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     "op6_norm_bucket_topk",
     """
     with v as (
-      select vec_id, list_transform(embedding, x -> floor(256 * cast(x as double))) as v from embeddings
-      where embedding is not null and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0),
+      select vec_id, list_transform(embedding, lambda x: floor(256 * cast(x as double))) as v from embeddings
+      where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
     pairs as (
       select q.vec_id as query_id, c.vec_id, cast(list_inner_product(q.v, c.v) as bigint) as score
       from v q join v c on q.vec_id <> c.vec_id where q.vec_id % 50 = 0),

@@ -138,7 +138,8 @@ def search_blocks(k: int):
 def met(vectors: DataFrame, levels: DataFrame, asks: DataFrame, k: int) -> DataFrame:
     """Hits of `asks` (vec_id, v, norm, dim, level, known) in the blocks of their level."""
     lots = asks.groupBy("dim", "level").agg(F.ceil(F.count(F.lit(1)) / QUERIES).cast("int").alias("lots"))
-    table = levels.join(lots, ["dim", "level"])
+    # At most LEVELS + 1 rows per dimension that occurs: sent to the vectors, which all have few keys here.
+    table = F.broadcast(levels.join(lots, ["dim", "level"]))
     numbers = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     salt = F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int")
     lot = F.pmod(F.xxhash64(F.lit("lot"), "vec_id"), F.col("lots")).cast("int")
@@ -169,12 +170,12 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 5, scale: int = 256) -> Da
     """
     sized = whole_vectors(rows, scale)
     longest = sized.groupBy("dim").agg(F.max("norm").alias("longest"))
-    vectors = sized.join(longest, "dim").withColumn("level", level_of(F.col("norm"), F.col("longest"))).drop("longest")
+    vectors = sized.join(F.broadcast(longest), "dim").withColumn("level", level_of(F.col("norm"), F.col("longest"))).drop("longest")
     vectors = written(vectors, "vectors")
     # One block of the longest bucket goes first, as a bucket of its own before all others.
     counts = vectors.where("level = 0").groupBy("dim").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("parts"))
     opens = (F.col("level") == 0) & (F.pmod(F.xxhash64(F.lit("first"), "vec_id"), F.col("parts")) == 0)
-    vectors = vectors.join(counts, "dim").withColumn("level", F.when(opens, -1).otherwise(F.col("level"))).drop("parts")
+    vectors = vectors.join(F.broadcast(counts), "dim").withColumn("level", F.when(opens, -1).otherwise(F.col("level"))).drop("parts")
     levels = written(
         vectors.groupBy("dim", "level").agg(
             F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"), F.max("norm").alias("top"), F.count(F.lit(1)).alias("n")
