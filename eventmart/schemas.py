@@ -1,4 +1,4 @@
-"""Record layouts of the JSON topics."""
+"""Record layouts of the JSON topics. Member names and their order are those of the topics."""
 
 from __future__ import annotations
 
