@@ -53,12 +53,22 @@ def append_jdbc(options: Mapping[str, str], table: str) -> BatchWriter:
     return write
 
 
-def stage_jdbc(options: Mapping[str, str], staging: str, keys: Sequence[str], order: str) -> BatchWriter:
-    """Last row per key into a staging table, replaced with each batch; the database merges from there."""
+def stage_jdbc(
+    options: Mapping[str, str],
+    staging: str,
+    keys: Sequence[str],
+    order: str,
+    then: Callable[[int], None] | None = None,
+) -> BatchWriter:
+    """Last row per key into a staging table, emptied and filled with each batch; `then` runs the database's own merge."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         latest = merge.last_per_key(batch, keys, order).withColumn("batch_id", F.lit(batch_id))
-        latest.write.format("jdbc").options(**options).option("dbtable", staging).mode("overwrite").save()
+        # Truncated, not dropped: its indexes and grants stay.
+        writer = latest.write.format("jdbc").options(**options).option("dbtable", staging).option("truncate", "true")
+        writer.mode("overwrite").save()
+        if then is not None:
+            then(batch_id)
 
     return write
 
