@@ -17,6 +17,9 @@ STATE_STORE = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
+# Batches handed to Python are bounded in bytes as well as in rows: texts may be long.
+ARROW = {"spark.sql.execution.arrow.maxBytesPerBatch": str(64 * 1024 * 1024)}
+
 
 def build_session(master: str | None = None, app_name: str = "eventmart", **conf) -> SparkSession:
     """A session with the settings below; keyword options override, `.` written as `__`."""
@@ -38,7 +41,7 @@ def build_session(master: str | None = None, app_name: str = "eventmart", **conf
 def prepare(spark: SparkSession) -> SparkSession:
     """Pin what results depend on: epoch arithmetic on wall-clock times assumes a UTC session."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    for key, value in STATE_STORE.items():
+    for key, value in {**STATE_STORE, **ARROW}.items():
         spark.conf.set(key, value)
     return spark
 
