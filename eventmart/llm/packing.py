@@ -66,7 +66,8 @@ class WordIds:
         self.alphabet = {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
 
     def forget(self) -> None:
-        self.number: dict[int, int] = {}
+        # Sorted hashes with their places; the ids of place k are flat[edges[k] : edges[k + 1]].
+        self.known, self.place = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.flat, self.edges = array("I"), array("q", [0])
 
     def encode(self, word: bytes) -> list[int]:
@@ -89,20 +90,21 @@ class WordIds:
         """Ids of each text."""
         words = find_words(text, fold=False)
         known, first, back = np.unique(words.hash, return_index=True, return_inverse=True)
-        if len(self.number) + len(known) > KEPT_WORDS:
+        if len(self.known) + len(known) > KEPT_WORDS:
             self.forget()
-        number, raw = self.number, words.data.tobytes()
-        places = []
-        for h, low, high in zip(known.tolist(), words.start[first].tolist(), words.end[first].tolist()):
-            at = number.get(h)
-            if at is None:
-                at = number[h] = len(number)
-                self.flat.extend(self.encode(raw[low:high]))
-                self.edges.append(len(self.flat))
-            places.append(at)
+        at = np.searchsorted(self.known, known)
+        new = np.ones(len(known), dtype=bool)
+        inside = at < len(self.known)
+        new[inside] = self.known[at[inside]] != known[inside]
+        raw, fresh = words.data.tobytes(), first[new]
+        for low, high in zip(words.start[fresh].tolist(), words.end[fresh].tolist()):
+            self.flat.extend(self.encode(raw[low:high]))
+            self.edges.append(len(self.flat))
+        self.place = np.insert(self.place, at[new], len(self.known) + np.arange(len(fresh)))
+        self.known = np.insert(self.known, at[new], known[new])
+        places = self.place[np.searchsorted(self.known, known)][back]
         # Copies, as the stores cannot grow while numpy looks into them.
         flat, edges = np.array(self.flat, dtype=np.uint32), np.array(self.edges, dtype=np.int64)
-        places = np.array(places, dtype=np.int64)[back]
         starts, size = edges[places], edges[places + 1] - edges[places]
         ends = np.cumsum(size)
         # Position by position: where the word's ids begin in the store, less where its own begin in the output.

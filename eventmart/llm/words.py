@@ -34,7 +34,7 @@ def _power(name: str, base: int, count: int) -> np.ndarray:
         steps = np.full(max(count, 1 << 20), base, dtype=np.uint64)
         steps[0] = 1
         have = np.multiply.accumulate(steps)
-        if count <= 1 << 23:  # longer texts are rare: their powers are not kept
+        if count <= 1 << 22:  # longer texts are rare: their powers are not kept
             _powers[name] = have
     return have[:count]
 
@@ -89,7 +89,7 @@ def find_words(text: pa.Array, fold: bool = True) -> Words:
     return Words(hashes, np.searchsorted(start, offsets), start, end, data)
 
 
-def portions(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = 1 << 22) -> Iterator[pa.RecordBatch]:
+def portions(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = 1 << 21) -> Iterator[pa.RecordBatch]:
     """The batches cut so that a portion's texts have at most `most` bytes; a longer text is a portion of its own."""
     for batch in batches:
         if not batch.num_rows:
