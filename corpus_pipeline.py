@@ -31,12 +31,15 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them."""
-    taken = pareto_mix.mix(docs.select("doc_id", "source", "text"))
-    copies = taken.where("taken > 0").select(F.col("doc_id").alias("__id"), (F.col("taken") / F.col("size")).cast("int").alias("__copies"))
-    # Ids are unique after the stages before; a null id is matched as such.
-    joined = docs.join(copies, F.col("doc_id").eqNullSafe(F.col("__id")))
-    return joined.select(*docs.columns, F.explode(F.sequence(F.lit(1), "__copies")).alias("__nth")).drop("__nth")
+    """Documents as often as the mix takes them.
+
+    Each row carries its own copies, as ids may be null or repeated. Rows of a null id are told apart by their texts.
+    """
+    rows = docs.select("doc_id", "source", "text", F.struct(*docs.columns).alias("__row"))
+    named = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("text "), F.md5(F.col("text").cast("binary"))))
+    taken = pareto_mix.mix(rows, key=named).where("taken > 0")
+    copies = F.sequence(F.lit(1), (F.col("taken") / F.col("size")).cast("int"))
+    return taken.select("__row", F.explode(copies).alias("__nth")).select("__row.*")
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,7 +3,8 @@
 Every source gets a target in words. A document's expected number of copies is its source's target over its source's
 words, times its importance where one is given. The whole part is certain. The fraction is an inclusion
 probability p: documents are ranked by ((u / (1 - u)) / (p / (1 - p))), u being random in (0, 1), and taken from the
-smallest rank on until the source's remaining words are filled. u comes from the document's id, so that reruns agree.
+smallest rank on until the source's remaining words are filled. u comes from the document's id, or from the key that is
+given, so that reruns agree.
 
 A running sum over the ranks of a source that holds a third of all rows would be one task. The ranks are therefore cut
 into `SLICES` slices per source; sizes are summed per slice, the running sum goes over the slices, and only
@@ -68,6 +69,7 @@ def mix(
     most: float = 2.0,
     importance: Column | None = None,
     seed: str = "mix",
+    key: Column | None = None,
 ) -> DataFrame:
     """One row per document: all columns of `docs` plus size, source_size, target and taken (words, repeats counted).
 
@@ -75,7 +77,8 @@ def mix(
     the cap per document stands against it). `importance` (null: 1) bends the copies within a source; the source's sum
     stays. A null text has size 0 and is never taken; a source of no words has target 0; null is a source of its own. A
     repeated row is sampled with its equals: they share their rank, ordered further by nothing but the copies' number.
-    The new columns replace columns of the same name. An empty frame gives none.
+    `key` (text) is what u comes from in place of doc_id: by the id, rows of a null id all have one rank. The new columns
+    replace columns of the same name. An empty frame gives none.
     """
     bent = F.lit(1.0) if importance is None else F.greatest(F.coalesce(importance.cast("double"), F.lit(1.0)), F.lit(0.0))
     added = ("size", "source_size", "target", "taken")
@@ -85,7 +88,8 @@ def mix(
         F.col("source").alias("__source"),
         word_count(F.col("text")).alias("__size"),
         bent.alias("__bent"),
-        random_unit(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("__u"),
+        random_unit(F.lit(seed), F.coalesce(F.col("doc_id").cast("string") if key is None else key, F.lit(""))).alias("__u"),
+        F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)).alias("__deal"),
     )
     sums = rows.groupBy(F.col("__source").alias("source")).agg(
         F.sum("__size").alias("source_size"), F.sum(F.col("__size") * F.col("__bent")).alias("__mass")
@@ -126,8 +130,8 @@ def mix(
     placed = ranked.join(
         room, F.col("__s").eqNullSafe(F.col("__rs")) & F.col("__slice").eqNullSafe(F.col("__rslice"))
     ).withColumn("__cut", open_rows & (F.col("__room") > 0) & (F.col("__room") < F.col("__slice_words")))
-    # Only documents of the cut slices are ordered; all others get a partition of their own by their random number.
-    spread = F.when(F.col("__cut"), F.lit(-1)).otherwise(F.floor(F.col("__u") * (1 << 30)))
+    # Only documents of the cut slices are ordered; all others are dealt by id and text, as ids may repeat.
+    spread = F.when(F.col("__cut"), F.lit(-1)).otherwise(F.col("__deal"))
     order = Window.partitionBy("__s", spread.cast("long")).orderBy("__cut", "__rank", "__size", "doc_id")
     before = F.coalesce(
         F.sum(F.when(F.col("__cut"), F.col("__size"))).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
 import os
 import subprocess
 import sys
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -190,6 +192,44 @@ def test_pipeline_stages(spark):
     assert want == sum(len(tokenizer.encode(t or "", add_special_tokens=False).ids) + 1 for _, t in rows[4])
 
 
+def test_mixed_with_null_and_repeated_ids(spark):
+    """A third of the rows without id, others sharing one: each row comes as often as its own mix says, by brute force."""
+    texts = [f"t{i} " + "w " * (i % 23) for i in range(900)]
+    ids = [None if i % 3 == 0 else 7 if i % 30 == 1 else i for i in range(900)]
+    rows = [(n, t, "abc"[i % 3 if i % 7 else 0], i, "clash") for i, (n, t) in enumerate(zip(ids, texts))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, size long, taken string").repartition(5)
+    got = corpus_pipeline.mixed(spark, docs, SMALL)
+    assert got.columns == docs.columns
+    times = Counter((r.doc_id, r.text, r.source, r.size, r.taken) for r in got.collect())
+    assert set(times) <= {(n, t, s, i, c) for n, t, s, i, c in rows}
+    assert max(times.values()) <= 2
+    words, sizes, largest, taken = {r: len(r[1].split()) for r in rows}, Counter(), Counter(), Counter()
+    for r in rows:
+        sizes[r[2]] += words[r]
+        largest[r[2]] = max(largest[r[2]], words[r])
+    targets = brute_targets(dict(sizes))
+    by_rank = {}
+    for r in rows:
+        key = str(r[0]) if r[0] is not None else "text " + hashlib.md5(r[1].encode()).hexdigest()
+        u = (int(hashlib.md5(f"mix|{key}".encode()).hexdigest()[:13], 16) + 0.5) / 2**52
+        expected = min(2.0, targets[r[2]] / sizes[r[2]])
+        taken[r] = int(expected)
+        by_rank.setdefault((r[2], expected - int(expected)), []).append((u, words[r], r[0] or 0, r))
+    for (s, p), ranked in by_rank.items():
+        left = targets[s] - sum(taken[r] * words[r] for r in rows if r[2] == s)
+        for _, size, _, r in sorted(ranked, key=lambda x: x[:3]) if p > 0 else ():
+            taken[r] += left * 2 >= size
+            left -= size
+    for s in sizes:
+        assert abs(sum(n * words[r] for r, n in times.items() if r[2] == s) - targets[s]) <= largest[s] / 2 + 1e-6
+    # Equal ranks and sizes of one id are taken in any order.
+    for told in (True, False):
+        assert sorted((n, words[r]) for r, n in times.items() if (r[0] != 7) == told) == sorted(
+            (n, words[r]) for r, n in taken.items() if n and (r[0] != 7) == told
+        )
+    assert {r: n for r, n in times.items() if r[0] != 7} == {r: n for r, n in taken.items() if n and r[0] != 7}
+
+
 def test_the_rest_stands_without_this_package(tmp_path):
     """A copy without llm and pipeline imports and registers the other queries."""
     import shutil
