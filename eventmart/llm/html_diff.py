@@ -37,6 +37,8 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style noscript template textarea title iframe svg object canvas select math".split())
 ASIDE = frozenset("nav header footer aside form button menu dialog head fieldset".split())
 ARTICLE = frozenset("article main".split())
+# What a head may hold: any other tag, or text, closes a head whose end tag is left out.
+HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
 # A block end tag may be left out: these close an open one of their own kind.
 SELF_CLOSING = frozenset("p li dt dd tr td th option thead tbody tfoot".split())
 # Words in class, id or role that declare an element to be something other than the article, whatever it holds ...
@@ -72,6 +74,15 @@ class _Open(NamedTuple):
     outer: bool
 
 
+class _Element:
+    """An element as read: its tag and attributes, the element around it, and whether it has its own end."""
+
+    __slots__ = ("tag", "attributes", "parent", "closed", "end")
+
+    def __init__(self, tag: str, attributes: str, parent: int):
+        self.tag, self.attributes, self.parent, self.closed, self.end = tag, attributes, parent, False, 0
+
+
 def _words(attributes: str) -> set[str]:
     return {w.lower() for m in _NAMED.finditer(attributes) for w in _WORD.findall(m[1] or m[2] or m[3] or "")}
 
@@ -80,14 +91,20 @@ def _hidden(attributes: str) -> bool:
     return bool(re.search(r"(?:^|\s)hidden(?:\s|=|/|$)", _QUOTED.sub("", attributes)) or _HIDDEN.search(attributes))
 
 
-def _entered(tag: str, attributes: str, around: _Open) -> _Open:
-    """What an element declares about its lines, given what is around it."""
+def _entered(tag: str, attributes: str, around: _Open, unclosed: bool = False) -> _Open:
+    """What an element declares about its lines, given what is around it.
+
+    An element without its end tag does not say where it ends: it declares nothing to be something else.
+    """
     words = _words(attributes) if attributes else set()
     inside, never, outer = around.inside, around.never, around.outer
+    unclosed = unclosed and tag not in ARTICLE
     if tag == "article":
         inside, outer = IN_ARTICLE, False  # whatever a wrapper is called, this is an article
     elif tag == "main" or "role" in attributes and "main" in words:
         inside, outer = max(inside, IN_MAIN), False
+    if unclosed:
+        return _Open(tag, inside, never, outer)
     # A header inside the article holds its title; one outside is the site's.
     never = never or tag in ASIDE and not (tag == "header" and around.inside) or _hidden(attributes)
     if tag not in ("html", "body"):
@@ -101,23 +118,33 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
     """(text, how its surroundings declare it, declared to be something else) of each block with text, in page order.
 
     A block ends at each tag that is no inline one. Character references are decoded, white space becomes one space. Tags
-    left open end with the page; end tags without a start are passed over; a `<` that begins no tag is text.
+    left open end with the page and hide nothing; end tags without a start are passed over; a `<` that begins no tag is text.
     """
-    lines: list[tuple[str, int, bool]] = []
+    lines: list[tuple[str, int]] = []
     parts: list[str] = []
-    stack = [_Open("", ANYWHERE, False, False)]
+    elements: list[_Element] = [_Element("", "", 0)]
+    stack = [0]
 
     def end_block() -> None:
         if parts:
             text = _SPACE.sub(" ", html.unescape("".join(parts))).strip()
             parts.clear()
             if text:
-                lines.append((text, stack[-1].inside, stack[-1].never or stack[-1].outer))
+                lines.append((text, stack[-1]))
+
+    def leave(depth: int, closed: bool) -> None:
+        for n in stack[depth:]:
+            elements[n].end = len(elements)
+        elements[stack[depth]].closed = closed
+        del stack[depth:]
 
     at = 0
     while True:
         found = _TOKEN.search(page, at)
-        parts.append(page[at : found.start() if found else len(page)])
+        piece = page[at : found.start() if found else len(page)]
+        if elements[stack[-1]].tag == "head" and piece.strip():
+            leave(len(stack) - 1, True)
+        parts.append(piece)
         if not found:
             break
         at = found.end()
@@ -126,6 +153,9 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
             if found[0].startswith("<![CDATA["):
                 parts.append(html.escape(found[0][9:].removesuffix("]]>")))
             continue
+        if not closing and tag not in HEAD and elements[stack[-1]].tag == "head":
+            end_block()
+            leave(len(stack) - 1, True)
         if tag == "br":
             parts.append(" ")
             continue
@@ -138,21 +168,53 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
         end_block()
         if closing:
             for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth].tag == tag:
-                    del stack[depth:]
+                if elements[stack[depth]].tag == tag:
+                    leave(depth, True)
                     break
-                if tag in SELF_CLOSING and stack[depth].tag in ARTICLE | ASIDE | {"div", "section", "table"}:
+                if tag in SELF_CLOSING and elements[stack[depth]].tag in ARTICLE | ASIDE | {"div", "section", "table"}:
                     break
         elif tag in RAW:
             if not attributes.rstrip().endswith("/"):
                 close = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
                 at = close.end() if close else len(page)
         elif tag not in VOID:
-            if tag in SELF_CLOSING and stack[-1].tag == tag:
-                stack.pop()
-            stack.append(_entered(tag, attributes, stack[-1]))
+            if tag in SELF_CLOSING and elements[stack[-1]].tag == tag:
+                leave(len(stack) - 1, True)
+            elements.append(_Element(tag, attributes, stack[-1]))
+            stack.append(len(elements) - 1)
     end_block()
-    return lines
+    if len(stack) > 1:
+        leave(1, False)
+    states = _states(elements, frozenset())
+    # Of two nested elements of one kind with one end tag, the outer or the inner one is left open. Where the first reading
+    # leaves no line, or none of an article, the inner one is taken to be it.
+    kept = [states[n] for _, n in lines if not (states[n].never or states[n].outer)]
+    if not any(k.inside for k in kept) and (not kept or any(states[n].inside for _, n in lines)):
+        doubtful = _doubtful(elements)
+        if doubtful:
+            states = _states(elements, doubtful)
+    return [(text, states[n].inside, states[n].never or states[n].outer) for text, n in lines]
+
+
+def _states(elements: list[_Element], doubtful: frozenset[int]) -> list[_Open]:
+    """What each element declares about its lines, those left open or in doubt declaring nothing to be something else."""
+    states = [_Open("", ANYWHERE, False, False)]
+    for n, e in enumerate(elements[1:], 1):
+        unclosed = n in doubtful or not e.closed and e.tag not in SELF_CLOSING
+        states.append(_entered(e.tag, e.attributes, states[e.parent], unclosed))
+    return states
+
+
+def _doubtful(elements: list[_Element]) -> frozenset[int]:
+    """Elements inside an element of the same kind that is left open."""
+    until: dict[str, int] = {}
+    found = set()
+    for n, e in enumerate(elements[1:], 1):
+        if n < until.get(e.tag, 0):
+            found.add(n)
+        if not e.closed:
+            until[e.tag] = max(until.get(e.tag, 0), e.end)
+    return frozenset(found)
 
 
 def shared_lines(one: list[str], other: list[str]) -> set[int]:

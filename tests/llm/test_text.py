@@ -45,6 +45,43 @@ def test_wrappers_do_not_hide_the_article():
     assert html_diff.main_text(html_diff.lines_of("<p>out</p><main><p>in</p><div hidden>h</div></main>"), None) == "in"
 
 
+def text_of(page):
+    return html_diff.main_text(html_diff.lines_of(page), None)
+
+
+ARTICLE = "<article><h1>T</h1><p>x y z</p></article>"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<html><head><title>t</title><body>{ARTICLE}",
+        f"<html><head><meta charset=utf-8><title>t</title>{ARTICLE}</html>",
+        f"<head><title>t</title><a href=x></a>{ARTICLE}",
+        f"<body><nav>menu{ARTICLE}</body>",
+        f"<form><input name=q>{ARTICLE}",
+        f"<footer>site{ARTICLE}<p>end",
+        f"<div class=ad>buy{ARTICLE}</body>",
+        f"<body><div class=page><div class=ad>buy{ARTICLE}</div></body>",
+        f"<ul><li class=ad>buy</ul>{ARTICLE}",
+    ],
+)
+def test_left_out_end_tags_do_not_hide_the_article(page):
+    assert text_of(page) == "T\n\nx y z"
+
+
+def test_left_out_end_tags_without_an_article():
+    assert text_of("<head><title>t</title>Hello <b>you</b><p>x") == "Hello you\n\nx"
+    assert text_of("<head><title>t</title><p>x<p>y") == "x\n\ny"
+    assert text_of("<nav>menu<div><p>x</div>") == "menu\n\nx"  # where it ends is not said: no line is lost
+    assert text_of("<nav>menu</nav><ul><li class=ad>buy<li>x</ul>") == "x"
+
+
+def test_closed_elements_still_hide_an_article():
+    for around in ("<nav>{}</nav>", "<aside>{}</aside>", "<div class=related>{}</div>", "<section id=comments>{}</section>"):
+        assert text_of("<p>own</p>" + around.format(ARTICLE)) == "own"
+
+
 def test_shared_lines_of_unmarked_pages_go(spark):
     site = "<div>Home</div><div>About us</div>{}<div>All rights</div>"
     rows = [
