@@ -5,9 +5,9 @@
    it is declared to be something else: navigation, header, footer, aside, form, or a class, id or role of that kind.
 2. Pages are ordered by host and URL path; each is paired with the page before it on its host, or the one after for the first.
 3. The two pages' lines are aligned by their longest common subsequence, and a page loses the lines it shares with its pair.
-   What is declared as article is the page's own even when the pair repeats it (mirrors, copies, stock paragraphs):
-   a page that declares an article is made of the article's lines, and differencing decides on the lines of pages that
-   declare none, whose menus and notices carry no mark but that other pages have them as well.
+   What is declared as article is the page's own even when the pair repeats it (mirrors, copies, stock paragraphs). A page
+   whose article or main part holds at least half of its words is made of that part's lines; a smaller one (a card, a quoted
+   item) hides nothing: the page keeps it and its other lines, and differencing decides on those that nothing declares.
 
 The order is a range partitioning of (host, path), so that a host of any size is spread over tasks; lines travel
 compressed. At the edge of a range the pair is the next page instead of the one before.
@@ -59,6 +59,8 @@ _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:
 _NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _HIDDEN = re.compile(r"aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
 _WORD = re.compile(r"[A-Za-z][a-z]*|[A-Z]+(?![a-z])")
+# A word for weighing lines; in scripts without spaces each letter counts.
+_COUNTED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff]|[^\\s\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff]+")
 _SPACE = re.compile(r"\s+")
 _QUOTED = re.compile(r"\"[^\"]*\"|'[^']*'")
 LINES = "page_id long, url string, host string, path string, packed binary"
@@ -254,20 +256,38 @@ def shared_lines(one: list[str], other: list[str]) -> set[int]:
     return found
 
 
+def _declared(kept: list[tuple[str, int]]) -> int:
+    """The deepest declaration that holds at least half of the words of the one around it, from the whole page inwards."""
+    words = [0, 0, 0]
+    for text, inside in kept:
+        n = len(_COUNTED.findall(text))
+        for level in range(inside + 1):
+            words[level] += n
+    declared = ANYWHERE
+    for level in (IN_MAIN, IN_ARTICLE):
+        if words[level] and 2 * words[level] >= words[declared]:
+            declared = level
+    return declared
+
+
 def main_text(lines: list, pair: list | None) -> str:
-    """The page's text: the declared article's lines, else those that the nearest page does not share."""
-    declared = max((inside for _, inside, other in lines if not other), default=ANYWHERE)
-    own = [text for text, inside, other in lines if not other and inside >= declared]
+    """The page's text: the lines of the article or main part that holds most of it, else the declared lines and those of
+    the others that the nearest page does not share."""
+    kept = [(text, inside) for text, inside, other in lines if not other]
+    declared = _declared(kept)
+    own = [(text, inside) for text, inside in kept if inside >= declared]
     if declared == ANYWHERE and pair:
         # Only lines that the pair has at all can be shared.
         theirs = [text for text, _, _ in pair]
-        common = set(own) & set(theirs)
-        places = [i for i, text in enumerate(own) if text in common]
-        gone = shared_lines([own[i] for i in places], [text for text in theirs if text in common])
-        if len(gone) < len(own):  # a mirror of the pair has no lines of its own to tell by
-            drop = {places[g] for g in gone}
-            own = [text for i, text in enumerate(own) if i not in drop]
-    return "\n\n".join(own)
+        has = set(theirs)
+        places = [i for i, (text, inside) in enumerate(own) if inside == ANYWHERE and text in has]
+        common = {own[i][0] for i in places}
+        gone = shared_lines([own[i][0] for i in places], [text for text in theirs if text in common])
+        drop = {places[g] for g in gone}
+        # A mirror of the pair has no lines of its own to tell by.
+        if any(i not in drop and (inside == ANYWHERE or text not in has) for i, (text, inside) in enumerate(own)):
+            own = [line for i, line in enumerate(own) if i not in drop]
+    return "\n\n".join(text for text, _ in own)
 
 
 def read_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -82,6 +82,20 @@ def test_closed_elements_still_hide_an_article():
         assert text_of("<p>own</p>" + around.format(ARTICLE)) == "own"
 
 
+def test_a_card_does_not_hide_the_page():
+    card, story = "<article><p>card one</p></article>", "<p>a long story of</p><p>many more words</p>"
+    all_lines = "a long story of\n\nmany more words\n\ncard one"
+    assert text_of(f"<main>{story}{card}</main><p>out</p>") == all_lines
+    assert text_of(f"{story}{card}") == all_lines
+    assert text_of("<p>長い記事の本文です。</p><article>短い</article>") == "長い記事の本文です。\n\n短い"
+    menu = "<div>Home</div><div>About us all</div>"
+    pages = [html_diff.lines_of(menu + x) for x in (story + card, "<p>other words of the second page</p>" + card, "<article>new</article>")]
+    assert html_diff.main_text(pages[0], pages[1]) == all_lines
+    assert html_diff.main_text(pages[1], pages[0]) == "other words of the second page\n\ncard one"
+    assert html_diff.main_text(pages[2], pages[1]) == "new"
+    assert html_diff.main_text(pages[0], pages[0]) == "Home\n\nAbout us all\n\n" + all_lines
+
+
 def test_shared_lines_of_unmarked_pages_go(spark):
     site = "<div>Home</div><div>About us</div>{}<div>All rights</div>"
     rows = [
