@@ -175,7 +175,8 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 5, scale: int = 256) -> Da
     # One block of the longest bucket goes first, as a bucket of its own before all others.
     counts = vectors.where("level = 0").groupBy("dim").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("parts"))
     opens = (F.col("level") == 0) & (F.pmod(F.xxhash64(F.lit("first"), "vec_id"), F.col("parts")) == 0)
-    vectors = vectors.join(F.broadcast(counts), "dim").withColumn("level", F.when(opens, -1).otherwise(F.col("level"))).drop("parts")
+    # A dimension of zero vectors alone has no level 0 and opens with the level they have.
+    vectors = vectors.join(F.broadcast(counts), "dim", "left").withColumn("level", F.when(opens, -1).otherwise(F.col("level"))).drop("parts")
     levels = written(
         vectors.groupBy("dim", "level").agg(
             F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"), F.max("norm").alias("top"), F.count(F.lit(1)).alias("n")

@@ -159,6 +159,12 @@ def test_top_k_of_any_lengths(spark, monkeypatch):
     assert topk.top_k(frame.limit(0), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_top_k_of_zero_vectors_alone(spark):
+    rows = [(i, [0.003] * 4) for i in range(30)] + [(100 + i, [1.0 + i, 2.0]) for i in range(8)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert {tuple(r) for r in topk.top_k(frame, F.col("vec_id") % 10 == 0, 5).collect()} == brute_top(rows, 5, 10)
+
+
 def test_pruning_never_loses_a_hit():
     rng = np.random.default_rng(5)
     for _ in range(200):
