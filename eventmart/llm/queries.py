@@ -5,7 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventmart.llm import exact_dedup, html_diff, line_dedup, lm_score, near_dup, packing, pareto_mix, topk, toxicity, url_filter
+from eventmart.llm import (
+    conversation_repair,
+    exact_dedup,
+    html_diff,
+    line_dedup,
+    lm_score,
+    near_dup,
+    packing,
+    pareto_mix,
+    topk,
+    toxicity,
+    url_filter,
+)
 from eventmart.llm.common import fold, table
 
 QUERIES: dict = {}
@@ -176,3 +188,100 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(docs, model).select(
         "doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
     )
+
+
+# The CRC-32 of a list of bytes, as DuckDB has none: its table from the polynomial, then one step a byte.
+CRC_TABLE = """
+      select list(c order by i) as crc_table
+      from (select i, list_reduce(range(8), lambda acc, k: case when acc & 1 = 1 then xor(acc >> 1, 3988292384) else acc >> 1 end, i) as c
+            from range(256) as numbers(i))"""
+CRC = "xor(list_reduce({0}, lambda acc, b: xor(acc >> 8, crc_table[(xor(acc, b) & 255) + 1]), 4294967295::bigint), 4294967295::bigint)"
+
+
+def _after(state: str, cost: str, edits: str) -> str:
+    """A state of the dynamic program, nine digits of cost and then the edits, with more of both."""
+    return f"lpad(cast(cast(left({state}, 9) as bigint) + {cost} as varchar), 9, '0') || substr({state}, 10) || '{edits}'"
+
+
+def _turned(state: str, initial: str) -> str:
+    """From `state` to the role that comes next: by a changed role, or by keeping a row of that role."""
+    return f"{_after(state, '1 + cut', 'R')}, case when initial = '{initial}' then {_after(state, 'cut', 'K')} end"
+
+
+@query(
+    "op12_grammar_repair",
+    f"""
+    with recursive crc as ({CRC_TABLE}),
+    keyed as (
+      select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+             list_transform(string_split(coalesce(cast(conv_id as varchar), ' ') || ':' || coalesce(cast(turn as varchar), ' '), ''),
+                            lambda c: ascii(c)::bigint) as codes
+      from conversations),
+    marked as (select * exclude (codes), {CRC.format("codes")} % 20 as fault from keyed, crc),
+    hurt as (
+      select m.conv_id, turn, case when fault = 4 then 'user' else role end as role,
+             case fault when 1 then '' when 2 then translate(text, '.!?', '') else text end as text, copy
+      from marked m, range(2) as copies(copy) where fault <> 0 and (copy = 0 or fault = 3)),
+    placed as (
+      select *, row_number() over (partition by conv_id order by turn nulls first, role, sha256(text), copy) as pos,
+             right(rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 1) as last, left(role, 1) as first
+      from hurt),
+    faulty as (
+      select *, case when last = '' then 'blank'
+                     when row_number() over (partition by conv_id, role, text order by pos) > 1 then 'duplicate'
+                     when last not in ('.', '!', '?') then 'truncated' else '' end as kind,
+             lag(first) over (partition by conv_id order by pos) || first as pair
+      from placed),
+    symbols as (
+      select conv_id, pos, role, text, kind in ('blank', 'duplicate') as gone, case when kind = 'truncated' then 5 else 0 end as cut,
+             first as initial
+      from faulty),
+    sums as (
+      select conv_id, max(pos) as n, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps,
+             count(*) filter (where kind = 'blank') as blank, count(*) filter (where kind = 'duplicate') as duplicate,
+             count(*) filter (where kind = 'truncated') as truncated,
+             count(*) filter (where pair not in ('su', 'ua', 'au')) as illegal
+      from faulty group by conv_id),
+    walk as (
+      select conv_id, 0::bigint as pos, '000000000' as v0, null::varchar as v1, null::varchar as v2, null::varchar as v3 from sums
+      union all
+      select conv_id, pos,
+             {_after("v0", "2", "D")},
+             case when gone then {_after("v1", "2", "D")}
+                  else least({_after("v1", "2", "D")}, case when initial = 's' then {_after("v0", "cut", "K")} end) end,
+             case when gone then {_after("v2", "2", "D")}
+                  else least({_after("v2", "2", "D")}, {_turned("v0", "u")}, {_turned("v1", "u")}, {_turned("v3", "u")}) end,
+             case when gone then {_after("v3", "2", "D")}
+                  else least({_after("v3", "2", "D")}, {_turned("v2", "a")}) end
+      from (
+        select s.*, v0, v1, least(v2, {_after("v0", "5", "I")}, {_after("v1", "5", "I")}, {_after("v3", "5", "I")}) as v2,
+               least(v3, {_after("v2", "5", "I")}, {_after("v0", "10", "II")}, {_after("v1", "10", "II")}) as v3
+        from walk w join symbols s on s.conv_id is not distinct from w.conv_id and s.pos = w.pos + 1)),
+    ends as (
+      select s.*, least(v0, {_after("v1", "10", "II")}, {_after("v2", "5", "I")}, v3) as v
+      from walk w join sums s on s.conv_id is not distinct from w.conv_id and s.n = w.pos),
+    edits as (
+      select conv_id, i, substr(v, 9 + i, 1) as edit,
+             count(*) filter (where substr(v, 9 + i, 1) <> 'I') over (partition by conv_id order by i) as pos
+      from (select conv_id, v, unnest(range(1, length(v) - 8)) as i from ends)),
+    made as (
+      select e.conv_id, i, edit, s.role, s.text, s.initial, row_number() over (partition by e.conv_id order by i) as nth
+      from edits e left join symbols s on s.conv_id is not distinct from e.conv_id and s.pos = e.pos where edit <> 'D'),
+    roles as (
+      select *, case when first_value(edit = 'K' and initial = 's') over (partition by conv_id order by i) then nth - 1 else nth end as place
+      from made),
+    texts as (
+      select conv_id, string_agg(case when edit = 'K' then role when place % 2 = 1 then 'user' else 'assistant' end || ':' ||
+                                 case when edit = 'I' then '' else text end, chr(10) order by i) as repaired
+      from roles group by conv_id)
+    select c.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate,
+           coalesce(truncated, 0) as truncated, coalesce(illegal, 0) as illegal, coalesce(cast(left(v, 9) as bigint), 0) as cost,
+           coalesce(substr(v, 10), '') as audit, sha256(coalesce(repaired, '')) as repaired_sha256
+    from (select distinct conv_id from conversations) c
+      left join ends e on c.conv_id is not distinct from e.conv_id
+      left join texts t on c.conv_id is not distinct from t.conv_id
+    """,
+)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation's faults after the damage and its cheapest repair."""
+    return conversation_repair.repair(table(spark, sf_dir, "conversations"))
