@@ -14,6 +14,7 @@ from eventmart.llm import (
     near_dup,
     packing,
     pareto_mix,
+    spelling,
     topk,
     toxicity,
     url_filter,
@@ -285,3 +286,43 @@ def _turned(state: str, initial: str) -> str:
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation's faults after the damage and its cheapest repair."""
     return conversation_repair.repair(table(spark, sf_dir, "conversations"))
+
+
+@query(
+    "op13_kd_spelling",
+    f"""
+    with recursive crc as ({CRC_TABLE}),
+    runs as (
+      select coalesce(cast(doc_id as varchar), '') as doc,
+             unnest(regexp_extract_all({AZ.format("coalesce(text, '')")}, '[a-z\u00c0-\u00ff]+')) as run
+      from documents),
+    keyed as (
+      select run, list_transform(regexp_extract_all(hex(encode(doc || ':' || run)), '..'), lambda b: cast('0x' || b as bigint)) as codes
+      from runs where length(run) >= 6),
+    hashed as (select run, {CRC.format("codes")} as h from keyed, crc),
+    kept as (
+      select case when h % 199 = 0 then left(run, h % length(run)) || substr(run, h % length(run) + 2) else run end as word from hashed),
+    words as (select word, count(*) as n from kept where length(word) >= 6 group by word having count(*) >= 5),
+    less as (
+      select word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) as rest
+      from (select word, n, unnest(range(1, length(word) + 1)) as i from words)),
+    pairs as (
+      select a.word, a.n, b.word as near, b.n as near_n from less a join less b on a.i = b.i and a.rest = b.rest and a.word <> b.word
+      union select l.word, l.n, w.word, w.n from less l join words w on w.word = l.rest
+      union select w.word, w.n, l.word, l.n from less l join words w on w.word = l.rest),
+    best as (
+      select word, count(*) as n_near, first(near order by near_n desc, near) as near, max(near_n) as near_n from pairs group by word),
+    formed as (
+      select w.word, w.n, coalesce(n_near, 0) as n_near, case when near_n >= 5 * w.n then near end as form,
+             case when near_n >= 5 * w.n then near_n end as form_n
+      from words w left join best b on w.word = b.word),
+    follow as (
+      select word, word as root, form as next from formed
+      union all select f.word, f.next, g.form from follow f join formed g on g.word = f.next),
+    ended as (select word, root from follow where next is null)
+    select f.word, form, root, n, n_near, form_n from formed f join ended e on f.word = e.word
+    """,
+)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every frequent word with its form, a near word at least five times as frequent, and its root."""
+    return spelling.variants(table(spark, sf_dir, "documents").select("doc_id", "text"))
