@@ -14,6 +14,7 @@ from eventmart.llm import (
     near_dup,
     packing,
     pareto_mix,
+    pii,
     spelling,
     topk,
     toxicity,
@@ -326,3 +327,10 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every frequent word with its form, a near word at least five times as frequent, and its root."""
     return spelling.variants(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op11_skip_chain_pii")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's personal data: the patterns' spans and those that the field adds."""
+    docs = table(spark, sf_dir, "documents")
+    return pii.personal_data(docs, pii.train(docs))
