@@ -202,16 +202,17 @@ class Graph:
         joined, phrase = "", []
 
         def close() -> None:
-            # A number in several parts stands in one place with all of them.
-            if len(phrase) > 1 and 7 <= len(joined) <= 19:
+            # A number in several short parts stands in one place with all of them.
+            if len(phrase) > 1 and 7 <= len(joined) <= 19 and max(len(numbers[node - first]) for node in phrase) < 10:
                 for key in {"d" + joined, "d" + joined[-10:]}:
                     sharing.setdefault(key, []).extend((phrase[0], node) for node in phrase)
 
         for nth, (word, number) in enumerate(zip(words, numbers)):
-            if nth and not linked[nth - 1]:
+            plain = not any(c.isalpha() or c == "@" for c in word)
+            if nth and not linked[nth - 1] or not plain:
                 close()
                 joined, phrase = "", []
-            if len(joined) <= 19:  # a longer row of numbers is no single entity
+            if plain and len(joined) <= 19:  # a longer row of numbers is no single entity
                 joined += number
                 phrase.append(first + nth)
             keys = {"t" + word.lower()} if len(word) >= 4 else set()
@@ -389,7 +390,7 @@ def fit_shapes(shapes: np.ndarray, labels: np.ndarray, counts: np.ndarray, ridge
 
 
 def association(counts: np.ndarray, alike: float = 0.5, unlike: float = 0.5) -> np.ndarray:
-    """Log potential of two labels meeting, half their log odds ratio: 0 for equal labels, below it for others that rarely meet.
+    """Log potential of two labels meeting, half their log odds ratio: 0 for equal labels, less for others that rarely meet.
 
     How frequent a label is cancels out, as the node factors hold that. `alike` and `unlike` are counts assumed
     beforehand for a pair of equal and of different labels. A label that was never met twice, nor is assumed to be, gains
@@ -397,7 +398,7 @@ def association(counts: np.ndarray, alike: float = 0.5, unlike: float = 0.5) ->
     """
     smooth = np.log(counts + counts.T + np.where(np.eye(LABELS) > 0, alike, unlike))
     same = smooth.diagonal() / 2
-    potential = smooth - same[:, None] - same[None]
+    potential = np.minimum(smooth - same[:, None] - same[None], 0)
     for label in range(LABELS):
         if counts[label, label] + alike < 1:
             potential[label, label] = np.delete(potential[label], label).max()
