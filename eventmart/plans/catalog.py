@@ -24,7 +24,7 @@ from eventmart.operators.lookup import dimension, lookup
 from eventmart.plans import balance, jobs
 from eventmart.session import shared_folder, written
 from eventmart.sources import dims
-from eventmart.streaming.sinks import UpsertTable
+from eventmart.streaming.upsert_table import UpsertTable
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -953,9 +953,9 @@ def _daily(spark, sf):
 
 @query("sink_upsert")
 def sink_upsert(spark, sf):
-    """Four batches by day into an upsert table, the last one written twice, with a base made on the way."""
+    """Four batches by day into an upsert table, the last one written twice, merged into levels on the way."""
     daily = _daily(spark, sf)
-    table = UpsertTable(f"{shared_folder(spark, 'upsert')}/t", ("slot", "app_id", "func_id"), "day", ("slot",), compact_every=3)
+    table = UpsertTable(f"{shared_folder(spark, 'upsert')}/t", ("slot", "app_id", "func_id"), "day", ("slot",), fanout=3)
     parts = daily.withColumn("__part", F.when(F.col("day") < SPLIT_DAY, 0).otherwise(1))
     steps = [parts.where("__part = 0 and slot = '0'"), parts.where("__part = 0 and slot = '1'"), parts.where("__part = 1")]
     for batch_id, step in enumerate([*steps, daily.limit(0)]):

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from eventmart.functions import epoch_seconds
 from eventmart.operators.late import late_against
-from eventmart.streaming.sinks import finished, remove
+from eventmart.streaming.files import finished, remove
 
 KEPT_BASES = 100
 _SEEN = T.StructType([T.StructField("seen", T.LongType())])

@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from eventmart.operators.lookup import Dimension, dimension
 from eventmart.session import written
 from eventmart.sources.dims import merge_snapshot, replace_snapshot
-from eventmart.streaming.sinks import BatchWriter, finished, remove
+from eventmart.streaming.files import finished, remove
+from eventmart.streaming.sinks import BatchWriter
 
 log = logging.getLogger(__name__)
 

@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from eventmart.operators import merge
+from eventmart.streaming.upsert_table import UpsertTable
 
 BatchWriter = Callable[[DataFrame, int], None]
 
@@ -73,122 +73,6 @@ def stage_jdbc(
     return write
 
 
-@dataclass(frozen=True)
-class UpsertTable:
-    """A table with replace-into semantics, made of folders that are written once and never changed.
-
-    Each batch becomes the folder `changes/batch_id=N`, holding its last row per key; every `compact_every`
-    batches a new folder `base/upto=N` takes in the base before and all changes up to N. A reader takes the newest
-    finished base and the finished changes after it, and of each key the row of the latest batch. What a batch writes
-    is in proportion to the batch, and a batch that broke off at any point is simply written again: a folder
-    counts only once Spark has put its `_SUCCESS` mark there. Keys are compared null-safe throughout, whatever the number
-    of keys or partitions. Folders that the last two bases have made obsolete are removed.
-
-    `partition_by` lays out the base for readers that filter by time; it must be among the keys.
-    """
-
-    path: str
-    keys: tuple[str, ...]
-    order: str | tuple[str, ...]
-    partition_by: tuple[str, ...]
-    load_time: str | None = None
-    compact_every: int = 20
-
-    def __post_init__(self):
-        if not self.partition_by or set(self.partition_by) - set(self.keys):
-            raise ValueError("partition columns must be key columns")
-
-    def read(self, spark: SparkSession, before: int | None = None) -> DataFrame | None:
-        """The table, or None while no batch has been written. `before`: as it was when that batch began."""
-        base, changes = self._state(spark, before)
-        return self._current(spark, base, changes)
-
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        if self.load_time:
-            batch = batch.withColumn(self.load_time, F.current_timestamp())
-        order = [self.order] if isinstance(self.order, str) else list(self.order)
-        newest = max(finished(spark, f"{self.path}/base", "upto"), default=batch_id)
-        if batch_id < newest:
-            raise ValueError(f"batch {batch_id} is older than the table ({newest}): a new checkpoint needs a new table path")
-        # The batch is evaluated here, and nowhere else.
-        merge.last_per_key(batch, self.keys, order).write.mode("overwrite").parquet(self._changes(batch_id))
-        base, changes = self._state(spark)
-        if len(changes) >= self.compact_every:
-            self._compact(spark, base, changes)
-
-    def _changes(self, batch_id: int) -> str:
-        return f"{self.path}/changes/batch_id={batch_id}"
-
-    def _base(self, upto: int) -> str:
-        return f"{self.path}/base/upto={upto}"
-
-    def _state(self, spark: SparkSession, before: int | None = None) -> tuple[int | None, list[int]]:
-        """The newest finished base and the finished changes after it, of batches earlier than `before`."""
-        earlier = lambda numbers: [n for n in numbers if before is None or n < before]
-        base = max(earlier(finished(spark, f"{self.path}/base", "upto")), default=None)
-        changes = earlier(finished(spark, f"{self.path}/changes", "batch_id"))
-        return base, sorted(n for n in changes if base is None or n > base)
-
-    def _current(self, spark: SparkSession, base: int | None, changes: list[int]) -> DataFrame | None:
-        if base is None and not changes:
-            return None
-        # Every change set has the columns of the stream's schema; partition columns of the base are cast back to them.
-        recent = None
-        if changes:
-            recent = spark.read.option("basePath", f"{self.path}/changes").parquet(*map(self._changes, changes))
-        if base is None:
-            return merge.last_per_key(recent, self.keys, "batch_id").drop("batch_id")
-        old = spark.read.parquet(f"{self._base(base)}/data")
-        old = old.drop(*(c for c in old.columns if c.startswith("__by_")))
-        if recent is None:
-            return old
-        old = old.withColumn("batch_id", F.lit(-1).cast(recent.schema["batch_id"].dataType))
-        return merge.last_per_key(recent.unionByName(old), self.keys, "batch_id").drop("batch_id")
-
-    def _compact(self, spark: SparkSession, base: int | None, changes: list[int]) -> None:
-        upto = changes[-1]
-        # Partition columns are kept in the files as well, so that their types and nulls survive the folder names.
-        layout = {f"__by_{i}": F.col(c) for i, c in enumerate(self.partition_by)}
-        rows = self._current(spark, base, changes).withColumns(layout)
-        rows.write.mode("overwrite").partitionBy(*layout).parquet(f"{self._base(upto)}/data")
-        # The mark comes last: until then readers stay with the base before.
-        mark = spark.range(1).select(F.lit(upto).alias("upto"))
-        mark.write.mode("overwrite").parquet(f"{self._base(upto)}/mark")
-        bases = sorted(finished(spark, f"{self.path}/base", "upto"))
-        if len(bases) > 2:
-            for old in bases[:-2]:
-                remove(spark, self._base(old))
-            for old in finished(spark, f"{self.path}/changes", "batch_id"):
-                if old <= bases[-2]:
-                    remove(spark, self._changes(old))
-
-
-def _folder(spark: SparkSession, path: str):
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
-
-
-def finished(spark: SparkSession, path: str, name: str) -> list[int]:
-    """Numbers N of the folders `name=N` below `path` whose writing has ended."""
-    fs, place = _folder(spark, path)
-    if not fs.exists(place):
-        return []
-    found = []
-    for entry in fs.listStatus(place):
-        folder = entry.getPath()
-        kind, _, number = folder.getName().partition("=")
-        done = any(fs.exists(spark._jvm.org.apache.hadoop.fs.Path(folder, mark)) for mark in ("_SUCCESS", "mark/_SUCCESS"))
-        if kind == name and number.lstrip("-").isdigit() and done:
-            found.append(int(number))
-    return found
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    fs, place = _folder(spark, path)
-    fs.delete(place, True)
-
-
 def fan_out(*writers: BatchWriter) -> BatchWriter:
     """One result to several sinks, computed once."""
 

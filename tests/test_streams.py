@@ -299,66 +299,6 @@ def test_strict_table_stops_the_stream(spark, folder):
         run(table, "append", sinks.append_to(f"{folder}/out"), folder)
 
 
-def test_upsert_table_keeps_every_key(spark, folder):
-    """Null keys and null partitions included; a repeated batch changes nothing; bases take changes in."""
-    kind = "slot string, k string, v int, o int"
-    table = sinks.UpsertTable(f"{folder}/t", ("slot", "k"), "o", ("slot",), compact_every=3)
-    assert table.read(spark) is None
-    first = spark.createDataFrame([("0", "a", 1, 1), ("1", "b", 2, 1), (None, "n", 3, 1), ("0", None, 4, 1)], kind)
-    table(first.limit(0), 0)
-    assert table.read(spark).count() == 0
-    table(first, 1)
-    want = {("0", "a"): 1, ("1", "b"): 2, (None, "n"): 3, ("0", None): 4}
-    for batch_id in range(2, 12):
-        new = [("0", "a", batch_id, 1), ("0", "a", 0, 0), (None, f"n{batch_id % 4}", batch_id, 1), ("0", None, batch_id, 1)]
-        frame = spark.createDataFrame(new, kind)
-        table(frame, batch_id)
-        table(frame, batch_id)
-        want |= {("0", "a"): batch_id, (None, f"n{batch_id % 4}"): batch_id, ("0", None): batch_id}
-        assert {(r.slot, r.k): r.v for r in table.read(spark).collect()} == want
-        assert table.read(spark).count() == len(want)
-    assert len(sinks.finished(spark, f"{folder}/t/base", "upto")) == 2
-    assert len(sinks.finished(spark, f"{folder}/t/changes", "batch_id")) < 9
-    with pytest.raises(ValueError):
-        table(first, 0)
-    with pytest.raises(ValueError):
-        sinks.UpsertTable("x", ("k",), "o", ("slot",))
-
-
-def test_upsert_table_survives_a_break_at_any_point(spark, folder):
-    """Folders without the final mark, as a crash leaves them, are not read and are written again."""
-    kind = "slot string, k string, v int, o int"
-    table = sinks.UpsertTable(f"{folder}/t", ("slot", "k"), "o", ("slot",), compact_every=2)
-    table(spark.createDataFrame([("0", "a", 1, 1), ("0", "b", 1, 1)], kind), 0)
-    second = spark.createDataFrame([("0", "a", 2, 1)], kind)
-    table(second, 1)
-    before = {(r.k, r.v) for r in table.read(spark).collect()}
-    assert before == {("a", 2), ("b", 1)}
-    # The base was being written, then the batch's own folder as well.
-    os.remove(f"{folder}/t/base/upto=1/mark/_SUCCESS")
-    assert {(r.k, r.v) for r in table.read(spark).collect()} == before
-    os.remove(f"{folder}/t/changes/batch_id=1/_SUCCESS")
-    assert {(r.k, r.v) for r in table.read(spark).collect()} == {("a", 1), ("b", 1)}
-    table(second, 1)
-    assert {(r.k, r.v) for r in table.read(spark).collect()} == before
-
-
-def test_upsert_table_evaluates_its_batch_once(spark, folder):
-    seen = spark.sparkContext.accumulator(0)
-
-    def count(rows):
-        for row in rows:
-            seen.add(len(row))
-            yield row
-
-    table = sinks.UpsertTable(f"{folder}/t", ("slot", "k"), "o", ("slot",), compact_every=2)
-    kind = "slot string, k string, v int, o int"
-    for batch_id in range(3):
-        frame = spark.createDataFrame([("0", str(i), batch_id, 1) for i in range(100)], kind)
-        table(frame.mapInPandas(count, kind), batch_id)
-    assert seen.value == 300
-
-
 def test_append_is_idempotent_and_pushes_are_rows(spark, folder):
     batch = spark.createDataFrame([("d", 3, START)], "dept string, n int, at timestamp")
     writer = sinks.list_pushes_to(f"{folder}/push", "dept", "n", "at")
