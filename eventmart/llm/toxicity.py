@@ -39,11 +39,12 @@ LANDMARKS = 192
 DECAY = 0.7
 LETTERS, SPAN = 4, 7
 WIDTH = 18  # letters of a word read at once, with its two marks; longer words are read in windows
-ALPHABET = 40
+ALPHABET = 48
 ROUNDS = 3
 NEGATIVES = 20_000
 HARDEST = 500
 KEPT_WORDS = 1_000_000
+CHUNK = 1024  # rows of windows worked on at once
 # Evidence (see first_guess) that a word must have to count as the reason for a toxic label. Texts without such a word are
 # taken as wrongly labelled: a piece in four toxic texts and no clean one has more, one of a single text or two less.
 EVIDENCE = 12.0
@@ -56,10 +57,15 @@ _OPEN, _CLOSE, _BREAK = 1, 2, 255
 _SENTENCE = re.compile(r"[^.!?\n]+")
 
 
+def _hashed(points: np.ndarray) -> np.ndarray:
+    """Codes from 30 on for letters other than a to z, spread so that neighbours in a script differ."""
+    return (30 + (points * np.uint64(2654435761) >> np.uint64(12)) % np.uint64(ALPHABET - 30)).astype(np.uint8)
+
+
 def _letter_codes() -> np.ndarray:
-    """Code of each code point: 0 for signs, 3 to 28 for a to z, 29 for other digits, 30 to 39 for other letters."""
-    codes = np.zeros(0x3000, dtype=np.uint8)
-    for point in range(0x3000):
+    """Code of each code point below 0x3040: 0 for signs, 3 to 28 for a to z, 29 for other digits, hashed codes for other letters."""
+    codes = np.zeros(0x3040, dtype=np.uint8)
+    for point in range(len(codes)):
         ch = chr(point)
         ch = _STANDS_FOR.get(ch, ch)
         if "a" <= ch <= "z":
@@ -67,7 +73,7 @@ def _letter_codes() -> np.ndarray:
         elif ch.isdigit():
             codes[point] = 29
         elif ch.isalpha():
-            codes[point] = 30 + point % 10
+            codes[point] = _hashed(np.uint64(point))
     codes[10] = _BREAK
     return codes
 
@@ -80,6 +86,12 @@ def spelled(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     text = b"\n".join(words).decode("utf-8", "replace").lower()
     points = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)
     codes = _CODES[np.minimum(points, len(_CODES) - 1)]
+    # Beyond the table: letters, but for private use, full-width marks and pictures.
+    far = np.flatnonzero(points >= len(_CODES))
+    if len(far):
+        high = points[far].astype(np.uint64)
+        marks = (high >= 0xE000) & (high < 0xF900) | (high >= 0xFE00) & (high < 0xFF21) | (high >= 0x1F000) & (high < 0x20000) | (high >= 0xE0000)
+        codes[far] = np.where(marks, 0, _hashed(high))
     # Marks at the edges of a word are punctuation, not letters in disguise.
     breaks = codes == _BREAK
     word = np.cumsum(breaks)
@@ -131,6 +143,11 @@ def complete(codes: np.ndarray) -> np.ndarray:
 
 def norms(windows: np.ndarray) -> np.ndarray:
     """Root of each window's kernel with itself. Equal subsequences of one word count together."""
+    parts = [_norms(windows[at : at + CHUNK]) for at in range(0, len(windows), CHUNK)]
+    return np.concatenate(parts) if parts else np.zeros(0, dtype=np.float32)
+
+
+def _norms(windows: np.ndarray) -> np.ndarray:
     weights = sorted({DECAY ** (p[-1] + 1) for p in _PATTERNS})
     level = {w: i for i, w in enumerate(weights)}
     found = np.stack([np.where(complete(codes), codes * len(weights) + level[w], 0) for w, codes in subsequences(windows)], axis=1)
@@ -166,12 +183,15 @@ class Landmarks:
 
     def kernel(self, windows: np.ndarray) -> np.ndarray:
         found = np.zeros((len(windows), self.rows.shape[1]), dtype=np.float32)
-        for weight, codes in subsequences(windows):
-            places = self.place[codes]
-            hit = np.flatnonzero(places >= 0)
-            if len(hit):
-                found[hit] += np.float32(weight) * self.rows[places[hit]]
-        return found / norms(windows)[:, None] if len(windows) else found
+        for at in range(0, len(windows), CHUNK):
+            part, own = windows[at : at + CHUNK], found[at : at + CHUNK]
+            for weight, codes in subsequences(part):
+                places = self.place[codes]
+                hit = np.flatnonzero(places >= 0)
+                if len(hit):
+                    own[hit] += np.float32(weight) * self.rows[places[hit]]
+            own /= norms(part)[:, None]
+        return found
 
     def folded(self, weights: np.ndarray) -> np.ndarray:
         """One weight per subsequence: the landmarks' rows, weighted and added."""
@@ -183,14 +203,15 @@ class Landmarks:
 
 def word_margins(words: list[bytes], table: np.ndarray, bias: float) -> np.ndarray:
     """Margin of each word: of its best window, or the bias if it has none."""
-    windows, of = spelled(words)
     best = np.full(len(words), bias)
-    for at in range(0, len(windows), 16_384):
-        part = windows[at : at + 16_384]
-        total = np.zeros(len(part), dtype=np.float32)
-        for weight, codes in subsequences(part):
-            total += np.float32(weight) * table[codes]
-        np.maximum.at(best, of[at : at + 16_384], total / norms(part) + bias)
+    for first in range(0, len(words), 8192):
+        windows, of = spelled(words[first : first + 8192])
+        for at in range(0, len(windows), 8192):
+            part = windows[at : at + 8192]
+            total = np.zeros(len(part), dtype=np.float32)
+            for weight, codes in subsequences(part):
+                total += np.float32(weight) * table[codes]
+            np.maximum.at(best, first + of[at : at + 8192], total / norms(part) + bias)
     return best
 
 
@@ -226,14 +247,21 @@ def joined_letters(words: Words) -> list[tuple[int, bytes]]:
 
 def svm(x: np.ndarray, y: np.ndarray, cost: np.ndarray, steps: int = 30) -> tuple[np.ndarray, float]:
     """Linear SVM with squared hinge loss, by Newton steps on the rows within the margin."""
-    wide = np.hstack([x, np.ones((len(x), 1))]).astype(np.float64)
-    keep = np.eye(wide.shape[1])
+    size = x.shape[1] + 1
+    keep = np.eye(size)
     keep[-1, -1] = 1e-6
-    w, active = np.zeros(wide.shape[1]), np.ones(len(y), dtype=bool)
+    w, active = np.zeros(size), np.ones(len(y), dtype=bool)
     for _ in range(steps):
-        part, weight = wide[active], cost[active]
-        w = np.linalg.solve(keep + (part * weight[:, None]).T @ part, part.T @ (weight * y[active]))
-        now = y * (wide @ w) < 1
+        left, right, now = keep.copy(), np.zeros(size), np.zeros(len(y), dtype=bool)
+        for at in range(0, len(y), CHUNK):
+            some = at + np.flatnonzero(active[at : at + CHUNK])
+            part = np.hstack([x[some], np.ones((len(some), 1))]).astype(np.float64)
+            weighted = part * cost[some][:, None]
+            left += weighted.T @ part
+            right += weighted.T @ y[some]
+        w = np.linalg.solve(left, right)
+        for at in range(0, len(y), CHUNK):
+            now[at : at + CHUNK] = y[at : at + CHUNK] * (x[at : at + CHUNK] @ w[:-1] + w[-1]) < 1
         if (now == active).all():
             break
         active = now
@@ -278,9 +306,11 @@ def spread_out(ranked: list[bytes], most: int, limit: float = 0.5) -> list[bytes
 def fit(texts: list[tuple[str, int]], landmarks: int = LANDMARKS) -> Model:
     """The machine from labelled texts. Without both labels it gives every text the share of toxic ones."""
     bags = [[] for _ in range(2)]
+    same: dict[bytes, bytes] = {}  # one object per word
     for text, label in sorted(set(texts)):
         # Distinct words by sentence; sentences of a clean text are all clean, one of a toxic text is not.
-        sentences = [w for w in (list(dict.fromkeys(s.encode().split())) for s in _SENTENCE.findall(text)) if w]
+        split = (dict.fromkeys(s.encode().split()) for s in _SENTENCE.findall(text))
+        sentences = [[same.setdefault(w, w) for w in words] for words in split if words]
         if sentences:
             bags[label].append(sentences)
     share = len(bags[1]) / max(1, len(bags[0]) + len(bags[1]))
@@ -322,7 +352,8 @@ def fit(texts: list[tuple[str, int]], landmarks: int = LANDMARKS) -> Model:
             # A long word stands for itself by its window nearest to any landmark.
             order = np.lexsort((-kernel.max(axis=1), of))
             first = order[np.unique(of[order], return_index=True)[1]]
-            rows.append(kernel[first] @ whiten)
+            rows.append(kernel[first] @ whiten.astype(np.float32))
+            del windows, kernel
             y += [label] * len(first)
             cost += [weight] * len(first)
         weights, bias = svm(np.vstack(rows), np.array(y), np.array(cost))

@@ -277,3 +277,32 @@ def test_url_model_knows_its_labels(spark):
     rows = spark.createDataFrame(list(url_filter.LABELLED), "url string, label int")
     got = url_filter.url_filter(rows, rules=()).collect()
     assert all((r.verdict == "block") == (r.label == 1) for r in got)
+
+
+def test_kernel_by_definition():
+    """The kernel of two words: products of the decayed counts of their common gapped subsequences, normalised."""
+    from itertools import combinations
+
+    def features(codes):
+        found = {}
+        for places in combinations(range(len(codes)), toxicity.LETTERS):
+            span = places[-1] - places[0] + 1
+            if span <= toxicity.SPAN:
+                key = tuple(codes[i] for i in places)
+                found[key] = found.get(key, 0.0) + toxicity.DECAY**span
+        return found
+
+    words = [b"idiot", b"idxiot", b"idiots", b"kitten", "čeština".encode(), "дурак".encode(), "日本語文字列".encode()]
+    windows, of = toxicity.spelled(words)
+    machine = toxicity.Landmarks(words)
+    letters = [features([c for c in row if c]) for row in windows.tolist()]
+    dot = lambda a, b: sum(v * b.get(k, 0.0) for k, v in a.items())
+    want = [[dot(a, b) / (dot(a, a) * dot(b, b)) ** 0.5 for b in letters] for a in letters]
+    assert of.tolist() == list(range(len(words)))
+    assert np.allclose(machine.kernel(windows), want, atol=1e-5)
+
+
+def test_letters_of_all_scripts_count():
+    windows, of = toxicity.spelled(["日本語文字".encode(), "漢字日語本".encode(), "дурак".encode(), "добро".encode(), "、。😀！".encode()])
+    assert of.tolist() == [0, 1, 2, 3]
+    assert len({tuple(row) for row in windows.tolist()}) == 4
