@@ -36,6 +36,8 @@ SMALL_BUCKET = 16
 STAR = 64
 BLOCK = 512
 #: Candidates up to this number (8 bytes each) are sent to all executors; beyond, texts are shuffled to them.
+STARS = 10  # rounds of further leaders at most; what they leave open is compared in full
+SLOW = 0.9  # a round that leaves more than this share open is the last one
 SENT_IDS = 1_000_000
 
 _random = np.random.default_rng(7)
@@ -354,8 +356,24 @@ def find_links(source: DataFrame, bands: DataFrame, width: int, percent: int) ->
     links = links.unionByName(links2)
     comps = components(links)
 
-    # Whatever is still open, in full.
+    # Further stars, each with other leaders, as long as they close buckets. A leader taken at random is most likely of its
+    # bucket's largest component, so what is left of a group joins it round by round, with one comparison a class and round.
     rows = written(open_buckets(rows.drop("comp"), comps), "open")
+    left = rows.count()
+    for turn in range(STARS):
+        if not left:
+            break
+        leads = rows.groupBy("key").agg(F.min_by("rep", F.xxhash64("rep", F.lit(turn))).alias("lead"))
+        met = with_comp(rows.select("key", "rep", "comp").join(leads, "key"), comps, "lead", "lead_comp")
+        more = written(star_links(best_leads(met.where("comp <> lead_comp")), full, percent), "links")
+        links = links.unionByName(more)
+        comps = components(links)
+        rows = written(open_buckets(rows.drop("comp"), comps), "open")
+        before, left = left, rows.count()
+        if left > SLOW * before:
+            break
+
+    # Whatever is still open, in full.
     small = rows.where(F.col("m") <= SMALL_BUCKET).select("key", "rep", "comp")
     other = small.select("key", F.col("rep").alias("lead"), F.col("comp").alias("lead_comp"))
     pairs = small.join(other, "key").where("lead < rep and comp <> lead_comp").select("lead", "rep").distinct()
