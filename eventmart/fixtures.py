@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventmart.functions import day_text, local_text
@@ -125,6 +125,14 @@ def stream_view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.sql(text, **inputs)
 
 
+def replayed(texts: DataFrame, part: Column, parts: int, folder: str) -> DataFrame:
+    """Texts as a stream that brings the rows of each part in a micro-batch of its own, in order."""
+    spark = texts.sparkSession
+    for nth in range(parts):
+        texts.where(part == nth).select("value").coalesce(1).write.text(f"{folder}/{nth:03}")
+    return spark.readStream.format("text").option("maxFilesPerTrigger", 1).load(f"{folder}/*")
+
+
 def area_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Region -> comma list of its nations (25 rows in all)."""
     nations = table(spark, sf_dir, "nation")

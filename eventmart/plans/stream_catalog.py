@@ -8,12 +8,15 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from eventmart import fixtures, schemas
 from eventmart.functions import day_slot
-from eventmart.operators import topn, totals, windows
-from eventmart.plans.catalog import ALERT_GAP, _functions, _orgs, _users, query, with_views
-from eventmart.plans.jobs import clean_clicks
+from eventmart.operators import parse, topn, totals, windows
+from eventmart.operators.enrich import OTHER_ORG
+from eventmart.plans.catalog import _FULL, ALERT_GAP, _functions, _orgs, _users, query, with_views
+from eventmart.plans.jobs import REPORT_ATTRIBUTES, clean_clicks, connect_intents
 from eventmart.session import shared_folder, state_partitions
 from eventmart.sources.streams import read_json_stream, register_stream_table, with_event_time
 from eventmart.streaming import aggregates, misuse, sinks
+from eventmart.streaming.outputs import CommittedOutputs, quarantine_split, split_counts
+from eventmart.streaming.refire import RefiringReport
 
 
 def _run(frame: DataFrame, mode: str, writer: sinks.BatchWriter, folder: str) -> None:
@@ -112,6 +115,77 @@ def stream_tumble_report(spark, sf):
     return _wall_clock(target.read(spark).withColumn("day", F.col("day").cast("string")))
 
 
+# Arrival in six parts of five days, each row up to two days after its time; one-hour windows.
+_PARTS = 6
+_LATE = {"seconds": 3600, "delay": 7200, "lateness": 3600}
+_ARRIVED = f"""arrived as (
+        select e.*, o.*, cast(floor(epoch(ts)) as bigint) as s, make_timestamp(cast(floor(epoch(ts) / 3600) * 3600 as bigint) * 1000000) as window_start,
+            cast(least({_PARTS - 1}, floor((epoch(ts) - 1704067200 + (intent_id * 7919) % 172800) / 432000)) as integer) as part
+        from event_intents e join {_FULL} o on o.org_code = e.dept_code),
+    seen as (select part, max(max(s)) over (order by part rows between unbounded preceding and 1 preceding) as base,
+            max(max(s)) over () as newest from arrived group by part),
+    judged as (select a.*, newest, coalesce((s // 3600 + 1) * 3600 + 3600 <= base - 7200, false) as is_late from arrived a join seen using (part))"""
+
+
+def _late_report(spark, sf) -> RefiringReport:
+    """Intents from text, as they arrive, to the report of all ten columns and its late side."""
+    folder = shared_folder(spark, "late")
+    rows = fixtures.view(spark, sf, "event_intents")
+    delayed = F.floor((F.unix_micros(F.col("ts").cast("timestamp")) / 1e6 - 1_704_067_200 + (F.col("intent_id") * 7919) % 172_800) / 432_000)
+    texts = fixtures.flat_intent_json(rows.withColumn("part", F.least(F.lit(_PARTS - 1), delayed).cast("int")), ("part",))
+    raw = fixtures.replayed(texts, F.col("part"), _PARTS, f"{folder}/in")
+    connected, _ = connect_intents(raw, _orgs(spark, sf))
+    intents, _ = parse.split_valid(parse.parse_intent(connected), parse.valid_event_time())
+    timed = intents.withColumn("ts", F.timestamp_millis("event_ms"))
+    report = RefiringReport(f"{folder}/report", REPORT_ATTRIBUTES, tie="user_id", **_LATE)
+    _run(timed, "append", report, folder)
+    return report
+
+
+@query(
+    "stream_late_report",
+    "event_intents org",
+    f""", {_ARRIVED} select window_start, window_start + interval '1' hour as window_end, dept_code, count(*) as lend_cnt,
+        cast(sum(amount) as bigint) as lend_amount, date_trunc('millisecond', max(ts)) as last_ts,
+        {", ".join(f"max({c}) as {c}" for c in OTHER_ORG)}, arg_max(fund_code, (ts, user_id, fund_code)) as fund_code,
+        (epoch(window_start) + 3600 <= max(newest) - 7200) as fired
+        from judged where not is_late group by window_start, dept_code""",
+)
+def stream_late_report(spark, sf):
+    """The last firing of every window, and what windows hold that have not fired."""
+    report = _late_report(spark, sf)
+    fired, pending = report.results(spark), report.pending(spark)
+    return _wall_clock(fired.withColumn("fired", F.lit(True)).unionByName(pending.withColumn("fired", F.lit(False))))
+
+
+@query(
+    "stream_late_rows",
+    "event_intents org",
+    f""", {_ARRIVED} select dept_code, user_id, amount, date_trunc('millisecond', ts) as ts from judged where is_late""",
+)
+def stream_late_rows(spark, sf):
+    """The late side of the same report."""
+    return _wall_clock(_late_report(spark, sf).late(spark).select("dept_code", "user_id", "amount", "ts"))
+
+
+@query(
+    "stream_quarantine_counts",
+    "clicks",
+    """select cast(least(3, floor((epoch(ts) - 1704067200) / 691200)) as bigint) as batch,
+        count(*) filter (where event_id % 50 <> 0) as good, count(*) filter (where event_id % 50 = 0) as bad from clicks group by 1""",
+)
+def stream_quarantine_counts(spark, sf):
+    """Readable and unreadable clicks of each batch, written from one parse, and how many there were."""
+    folder = shared_folder(spark, "quarantine")
+    part = F.least(F.lit(3), F.floor((F.unix_micros(F.col("ts").cast("timestamp")) / 1e6 - 1_704_067_200) / 691_200)).alias("part")
+    clicks = fixtures.view(spark, sf, "clicks").withColumn("part", part.cast("int"))
+    texts = fixtures.replayed(fixtures.click_json(clicks, ("part",)), F.col("part"), 4, f"{folder}/in")
+    split = CommittedOutputs(f"{folder}/split")
+    parsed = parse.parse_json(texts, schemas.RAW_CLICK)
+    _run(parsed, "append", quarantine_split(split, lambda rows: parse.split_valid(rows, F.lit(True))), folder)
+    return split_counts(split, spark)
+
+
 @query(
     "stream_running_totals",
     "event_intents",
