@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,34 +25,65 @@ def _as_text(kind: T.DataType) -> T.DataType:
     return T.StringType()
 
 
+def _whole(text: Column, kind: T.DataType) -> Column:
+    """A whole number written as such, or as a decimal or power of ten without a fraction (`500.0`, `1e3`)."""
+    exact = text.try_cast(T.DecimalType(38, 10))
+    return F.coalesce(text.try_cast(kind), F.when(exact == F.floor(exact), exact.try_cast(kind)))
+
+
 def _typed(column: Column, kind: T.DataType) -> Column:
-    """Text scalars as what the layout says; one that cannot be read is null and costs the record nothing else."""
+    """Text scalars as what the layout says; null where that cannot be."""
     if isinstance(kind, T.StructType):
         members = [_typed(column[f.name], f.dataType).alias(f.name) for f in kind.fields]
         return F.when(column.isNotNull(), F.struct(*members))
     if isinstance(kind, T.ArrayType):
         return F.transform(column, lambda x: _typed(x, kind.elementType))
+    if isinstance(kind, T.IntegralType):
+        return _whole(column, kind)
     return column if isinstance(kind, T.StringType) else column.try_cast(kind)
 
 
+def _unreadable(column: Column, kind: T.DataType) -> Column:
+    """Whether a scalar stands there, is not blank, and cannot be what the layout says."""
+    if isinstance(kind, T.StructType):
+        return reduce(or_, (_unreadable(column[f.name], f.dataType) for f in kind.fields), F.lit(False))
+    if isinstance(kind, T.ArrayType):
+        return F.coalesce(F.exists(column, lambda x: _unreadable(x, kind.elementType)), F.lit(False))
+    if isinstance(kind, T.StringType):
+        return F.lit(False)
+    return F.coalesce((F.trim(column) != "") & _typed(column, kind).isNull(), F.lit(False))
+
+
 def parse_json(
     df: DataFrame, schema: T.StructType, value: str = "value", keep: Sequence[str] = ()
 ) -> DataFrame:
     """Tolerant parse: unreadable text leaves nulls and its own copy in `_corrupt_record`.
 
-    A null or blank text is unreadable too; of a null its copy is an empty text. Numbers may stand in quotes.
+    A null or blank text is unreadable too; of a null its copy is an empty text. Numbers may stand in quotes, and whole numbers
+    may be written as decimals or powers of ten without a fraction. A record with a number that is there and cannot be read is
+    unreadable: it is set aside rather than counted without its amount. Its other members are given all the same.
     """
     # Members become columns through a generator. As a projection the parse would be copied into
     # every filter on a member that the optimizer moves below it, and run once per copy.
-    with_bad = T.StructType([*_as_text(schema).fields, T.StructField(CORRUPT, T.StringType())])
-    record = F.from_json(F.col(value), with_bad, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    nothing = F.struct(
-        *[F.lit(None).cast(f.dataType).alias(f.name) for f in with_bad.fields[:-1]],
-        F.coalesce(F.col(value), F.lit("")).alias(CORRUPT),
-    )
-    texts = df.select(*keep, F.inline(F.array(F.coalesce(record, nothing))))
-    typed = [_typed(F.col(f.name), f.dataType).alias(f.name) for f in schema.fields]
-    return texts.select(*keep, *typed, CORRUPT)
+    names, corrupt = schema.names, T.StructField(CORRUPT, T.StringType())
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+
+    def parsed(text: str, layout: T.StructType) -> Column:
+        record = F.from_json(F.col(text), T.StructType([*layout.fields, corrupt]), options)
+        nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in layout.fields]
+        return F.coalesce(record, F.struct(*nothing, F.coalesce(F.col(text), F.lit("")).alias(CORRUPT)))
+
+    def read_text(record: Column) -> Column:
+        """A record of text scalars, as typed ones."""
+        bad = F.when(_unreadable(record, schema), F.col("__text"))
+        members = [_typed(record[f.name], f.dataType).alias(f.name) for f in schema.fields]
+        return F.struct(*members, F.coalesce(record[CORRUPT], bad).alias(CORRUPT))
+
+    # Most records are read as the layout says, at once. Only those that are not are parsed again, with every scalar as text.
+    quick = df.select(*keep, F.col(value).alias("__text"), F.inline(F.array(parsed(value, schema))))
+    as_is = F.struct(*(F.col(name) for name in names), F.col(CORRUPT))
+    again = F.transform(F.array(parsed("__text", _as_text(schema))), read_text)
+    return quick.select(*keep, F.inline(F.when(F.col(CORRUPT).isNull(), F.array(as_is)).otherwise(again)))
 
 
 def parse_json_strict(

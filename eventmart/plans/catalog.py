@@ -111,6 +111,12 @@ def _changes(spark, sf, keep=()):
     return cdc.parse_change(fixtures.cdc_json(_intents(spark, sf), keep), keep=keep)
 
 
+# Amounts as they may be written: plain, in quotes, as decimal, as power of ten, with a fraction, and not at all.
+_AMOUNT_FORMS = """case intent_id % 7 when 0 then cast(amount as {text}) when 1 then concat('"', cast(amount as {text}), '"')
+        when 2 then concat(cast(amount as {text}), '.0') when 3 then concat('"', cast(amount as {text}), '.00"')
+        when 4 then concat(cast(amount as {text}), 'e2') when 5 then concat(cast(amount as {text}), '.5') else '"n/a"' end"""
+
+
 # --- sources and dimensions -------------------------------------------------------------------
 
 
@@ -1110,3 +1116,20 @@ ORACLES |= {
     "day_over_day": _balance_oracle("b"),
     "balance_report": _balance_oracle("report", "g r l d b"),
 }
+
+
+@query(
+    "parse_decimals",
+    "rows_",
+    """select intent_id, state, case intent_id % 7 when 4 then amount * 100 when 5 then null when 6 then null else amount end as amount,
+        intent_id % 7 >= 5 as set_aside from rows_""",
+)
+def parse_decimals(spark, sf):
+    """Whole amounts in every way they may be written; records whose amount cannot be read are set aside."""
+    amount = F.expr(_AMOUNT_FORMS.format(text="string"))
+    text = F.concat(F.lit('{"lamount":'), amount, F.lit(',"nstate":"'), F.col("state").cast("string"), F.lit('.0"}'))
+    texts = _intents(spark, sf).select("intent_id", text.alias("value"))
+    good, bad = parse.split_valid(parse.parse_intent(texts, keep=["intent_id"]), F.lit(True))
+    columns = ["intent_id", "state", "amount"]
+    both = good.select(*columns, F.lit(False).alias("set_aside"))
+    return both.unionByName(bad.select(*columns, F.lit(True).alias("set_aside")))

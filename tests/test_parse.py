@@ -1,5 +1,6 @@
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from eventmart import schemas
 from eventmart.operators import parse
@@ -17,14 +18,15 @@ def test_unreadable_text_is_kept_for_quarantine(spark):
     good, bad = parse.split_valid(rows, F.col("a").isNotNull())
     assert [tuple(r) for r in good.collect()] == [("x", 1)]
     assert bad.count() == 4
-    # The record of the unreadable number is a record without `a`; the null text is none at all.
-    assert {r[parse.CORRUPT] for r in bad.collect()} == {'{"a":', "", None}
+    # A number that cannot be read is set aside with its record; the record without `a` is readable; the null text is none at all.
+    assert {r[parse.CORRUPT] for r in bad.collect()} == {'{"a":', '{"n":"no"}', "", None}
 
 
 def test_parse_runs_once_under_a_filter(spark):
     rows = parse.parse_json(texts(spark, '{"a":"x","n":1}'), SMALL).where("n > 0 and a <> 'y'").select("a")
     plan = rows._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("from_json") == 1
+    # Once as the layout says, and once more for the records that this cannot read.
+    assert plan.count("from_json") == 2
 
 
 def test_strict_parse_stops_on_absent_or_unreadable(spark):
@@ -70,9 +72,30 @@ def test_clean_json_without_readable_time(spark):
 
 
 def test_no_text_is_invented_and_none_lost(spark):
-    """Null, blank and broken texts are unreadable; numbers in quotes are numbers; an odd member costs itself alone."""
+    """Null, blank and broken texts are unreadable; numbers in quotes are numbers; an odd number sets its record aside."""
     lines = [None, "", "  ", "{", '{"lamount":"500","nstate":"9"}', '{"lamount":500,"nstate":"x"}', '{"success":"true"}']
     frame = spark.createDataFrame([(i, t) for i, t in enumerate(lines)], "i int, value string")
     good, bad = parse.split_valid(parse.parse_json(frame, schemas.FLAT_INTENT, keep=["i"]), F.lit(True))
-    assert {r.i: (r.lamount, r.nstate) for r in good.collect()} == {4: (500, 9), 5: (500, None), 6: (None, None)}
-    assert {r.i: r[parse.CORRUPT] for r in bad.collect()} == {0: "", 1: "", 2: "  ", 3: "{"}
+    assert {r.i: (r.lamount, r.nstate) for r in good.collect()} == {4: (500, 9), 6: (None, None)}
+    assert {r.i: r[parse.CORRUPT] for r in bad.collect()} == {0: "", 1: "", 2: "  ", 3: "{", 5: lines[5]}
+
+
+def test_forms_of_whole_numbers(spark):
+    """Decimals and powers of ten without a fraction are whole numbers; with one, or too large, they set the record aside."""
+    forms = {"500.0": 500, "1e3": 1000, '"9.0"': 9, '"7"': 7, "-2.50e1": -25, "null": None, '""': None, '" "': None, "9223372036854775807": 2**63 - 1}
+    odd = ["0.5", '"1e"', "9223372036854775808", "1e30", "true", "{}", "[1]"]
+    lines = [f'{{"a":"k","n":{form}}}' for form in [*forms, *odd]]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(lines)], "i int, value string")
+    good, bad = parse.split_valid(parse.parse_json(frame, SMALL, keep=["i"]), F.lit(True))
+    assert {r.i: r.n for r in good.collect()} == dict(enumerate(forms.values()))
+    assert {r.i: r[parse.CORRUPT] for r in bad.collect()} == {i: lines[i] for i in range(len(forms), len(lines))}
+
+
+def test_odd_numbers_in_nested_members(spark):
+    """Nested numbers are held to the same rule, in records and in items of lists."""
+    nested = struct(r=struct(n=LONG), data=T.ArrayType(struct(score=T.DoubleType())))
+    lines = ['{"r":{"n":"4.0"},"data":[{"score":"1.5"}]}', '{"r":{"n":"x"}}', '{"data":[{"score":1},{"score":"y"}]}', '{"r":null,"data":null}']
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(lines)], "i int, value string")
+    good, bad = parse.split_valid(parse.parse_json(frame, nested, keep=["i"]), F.lit(True))
+    assert {r.i: (r.r and r.r.n, r.data and [d.score for d in r.data]) for r in good.collect()} == {0: (4, [1.5]), 3: (None, None)}
+    assert sorted(r.i for r in bad.collect()) == [1, 2]
