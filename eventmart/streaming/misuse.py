@@ -1,4 +1,4 @@
-"""Account-misuse alerts on a stream, with per-user state and event-time timers."""
+"""Account-misuse alerts on a stream."""
 
 from __future__ import annotations
 
@@ -13,15 +13,6 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 ALERT = T.StructType([T.StructField("user_id", T.StringType()), T.StructField("alert_us", T.LongType())])
-_EDGE = T.StructType(
-    [
-        T.StructField("cell", T.LongType()),
-        T.StructField("last_us", T.LongType()),
-        T.StructField("last_func", T.StringType()),
-        T.StructField("other_us", T.LongType()),
-    ]
-)
-_SEEN = T.StructType([T.StructField("func_id", T.StringType()), T.StructField("lo", T.LongType())])
 
 
 def _alerts(rows: list[tuple[str, int]]) -> Iterator[pd.DataFrame]:
@@ -39,51 +30,6 @@ def _cells(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[int, list[tuple[in
         yield cell, list(group)
 
 
-class PairWithinGap(StatefulProcessor):
-    """Keeps the end of a user's last cell; alerts on the first click of a cell that completes a pair.
-
-    Input rows are one user's earliest and latest click per function and closed cell.
-    """
-
-    def __init__(self, gap_seconds: int):
-        self.gap_us = gap_seconds * 1_000_000
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.edge = handle.getValueState("edge", _EDGE)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        before = self.edge.get() if self.edge.exists() else None
-        found = []
-        for cell, clicks in _cells(rows):
-            _, first_us, first_func, _ = clicks[0]
-            alert = clicks[1][1] if len(clicks) > 1 else None
-            if before is not None and before[0] == cell - 1:
-                other = before[1] if before[2] != first_func else before[3]
-                if other is not None and first_us - other <= self.gap_us:
-                    alert = first_us
-            if alert is not None:
-                found.append((key[0], alert))
-            ends = sorted(clicks, key=itemgetter(3), reverse=True)[:2]
-            before = (cell, ends[0][3], ends[0][2], ends[1][3] if len(ends) > 1 else None)
-        self.edge.update(before)
-        # The edge matters for the next cell only; once that is closed too, forget the user.
-        self.handle.registerTimer(self._forget_at(before[0]))
-        yield from _alerts(found)
-
-    def _forget_at(self, cell: int) -> int:
-        return ((cell + 2) * self.gap_us) // 1000 + 1
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        # Timers of earlier edges still fire; they must not clear a newer one.
-        if self.edge.exists() and self._forget_at(self.edge.get()[0]) <= expiredTimerInfo.getExpiryTimeInMs():
-            self.edge.clear()
-        yield from _alerts([])
-
-    def close(self) -> None:
-        pass
-
-
 class TwoFunctionsEver(StatefulProcessor):
     """The looser rule: from a user's second function on, ever, every cell with a click alerts."""
 
@@ -110,14 +56,36 @@ class TwoFunctionsEver(StatefulProcessor):
         pass
 
 
+def _pairs_of_cells(cells: DataFrame, gap_seconds: int) -> DataFrame:
+    """Alerts by a second aggregation: every cell with the one before it, as a window of two cells that moves by one.
+
+    Such a window holds two entries per function at most, its first and last click in each cell; what alerts is picked from
+    them by array functions, so no user's history is ever a list, and state is dropped with the watermark.
+    """
+    gap = gap_seconds * 1_000_000
+    entry = F.struct("cell", "lo", F.col("func_id").alias("func"), "hi")
+    both = cells.groupBy(F.window("w", f"{2 * gap_seconds} seconds", f"{gap_seconds} seconds").alias("pair"), "user_id")
+    found = both.agg(F.collect_list(entry).alias("entries"))
+    cell = F.floor(F.unix_micros("pair.start") / F.lit(gap)).cast("bigint") + 1
+    found = found.select("user_id", "entries", cell.alias("cell"))
+    clicks = F.expr("array_sort(transform(filter(entries, e -> e.cell = cell), e -> struct(e.lo as lo, e.func as func)))")
+    found = found.select("user_id", "entries", "cell", clicks.alias("clicks")).where(F.size("clicks") > 0)
+    # The last click on another function in the cell before, if the first click here is near enough to it; else the first click on
+    # a second function, which one cell always holds within the gap.
+    other = F.expr("array_max(transform(filter(entries, e -> e.cell < cell and e.func <> clicks[0].func), e -> e.hi))")
+    found = found.select("user_id", "clicks", other.alias("other"))
+    alert = F.when(F.col("clicks")[0]["lo"] - F.col("other") <= gap, F.col("clicks")[0]["lo"]).otherwise(F.expr("get(clicks, 1).lo"))
+    return found.select("user_id", alert.alias("alert_us")).where("alert_us is not null")
+
+
 def misuse_alerts(
     clicks: DataFrame, gap_seconds: int = 1, ever: bool = False, ts: str = "ts", user: str = "user_id", func: str = "func_id"
 ) -> DataFrame:
     """Alerts of a watermarked click stream; append mode.
 
-    Clicks are first combined per (cell, user, function) by a built-in aggregation, before the
-    shuffle too. The Python state only sees that, so a user with a third of all clicks brings a few
-    rows per cell, in order of closed cells.
+    Clicks are first combined per (cell, user, function) by a built-in aggregation, before the shuffle too. Cells are then
+    compared with the cell before by a second one. Only the looser rule (`ever`) needs a state of its own, and sees no more than
+    the combined rows.
     """
     combined = clicks.groupBy(F.window(ts, f"{gap_seconds} seconds").alias("w"), user, func).agg(
         F.min(F.unix_micros(ts)).alias("lo"), F.max(F.unix_micros(ts)).alias("hi")
@@ -130,10 +98,10 @@ def misuse_alerts(
         "hi",
         "w",
     )
-    alerts = cells.groupBy("user_id").transformWithStateInPandas(
-        statefulProcessor=TwoFunctionsEver() if ever else PairWithinGap(gap_seconds),
-        outputStructType=ALERT,
-        outputMode="Append",
-        timeMode="None" if ever else "EventTime",
-    )
+    if not ever:
+        alerts = _pairs_of_cells(cells, gap_seconds)
+    else:
+        alerts = cells.groupBy("user_id").transformWithStateInPandas(
+            statefulProcessor=TwoFunctionsEver(), outputStructType=ALERT, outputMode="Append", timeMode="None"
+        )
     return alerts.select("user_id", F.timestamp_micros("alert_us").alias("alert_ts"))
