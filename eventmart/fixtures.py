@@ -125,12 +125,27 @@ def stream_view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.sql(text, **inputs)
 
 
-def replayed(texts: DataFrame, part: Column, parts: int, folder: str) -> DataFrame:
-    """Texts as a stream that brings the rows of each part in a micro-batch of its own, in order."""
-    spark = texts.sparkSession
+def replayed(rows: DataFrame, part: Column, parts: int, folder: str) -> DataFrame:
+    """Rows as a stream that brings those of each part in a micro-batch of its own, in order; texts (`value` alone) as text files."""
+    spark = rows.sparkSession
+    kind = "text" if rows.columns == ["value"] or set(rows.columns) == {"part", "value"} else "parquet"
+    plain = [c for c in rows.columns if c != "part"]
     for nth in range(parts):
-        texts.where(part == nth).select("value").coalesce(1).write.text(f"{folder}/{nth:03}")
-    return spark.readStream.format("text").option("maxFilesPerTrigger", 1).load(f"{folder}/*")
+        rows.where(part == nth).select(*plain).coalesce(1).write.format(kind).save(f"{folder}/{nth:03}")
+    reader = spark.readStream.format(kind).schema(rows.select(*plain).schema)
+    return reader.option("maxFilesPerTrigger", 1).load(f"{folder}/*")
+
+
+# Decades after all rows: closes every window of a finite input.
+CLOSING = "2100-01-01 00:00:00"
+
+
+def closed_stream(rows: DataFrame, folder: str, days: int = 10, parts: int = 3) -> DataFrame:
+    """Timed rows in `parts` micro-batches of some days each, and a closing row, whose own windows stay open."""
+    seconds = F.unix_seconds(F.col("ts").cast("timestamp")) - 1_704_067_200
+    part = F.least(F.lit(parts - 1), F.floor(seconds / (86_400 * days))).cast("int")
+    closing = rows.limit(1).withColumn("ts", F.lit(CLOSING).cast(rows.schema["ts"].dataType)).withColumn("part", F.lit(parts))
+    return replayed(rows.withColumn("part", part).unionByName(closing), F.col("part"), parts + 1, folder)
 
 
 def area_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
