@@ -26,6 +26,21 @@ def _same_key(keys: Sequence[str], names: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names)])
 
 
+def _against(rows: DataFrame, known: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    names = [f"__known_{i}" for i in range(len(keys))]
+    return rows.join(known.select(*[F.col(k).alias(n) for k, n in zip(keys, names)]), _same_key(keys, names), how)
+
+
+def absent(rows: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows whose key is not among those of `known`, null keys included."""
+    return _against(rows, known, keys, "left_anti")
+
+
+def present(rows: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows whose key is among those of `known`, null keys included."""
+    return _against(rows, known, keys, "left_semi")
+
+
 def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], order: str | Sequence[str]) -> DataFrame:
     """Target rows without a new version, and the last new version of every key in the batch."""
     latest = last_per_key(batch, keys, order)

@@ -7,16 +7,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from eventmart import fixtures, schemas
-from eventmart.functions import day_slot
-from eventmart.operators import parse, topn, totals, windows
+from eventmart.functions import day_slot, epoch_to_text
+from eventmart.operators import cdc, parse, topn, totals, windows
 from eventmart.operators.enrich import OTHER_ORG
-from eventmart.plans.catalog import _FULL, ALERT_GAP, _functions, _orgs, _users, query, with_views
-from eventmart.plans.jobs import REPORT_ATTRIBUTES, clean_clicks, connect_intents
+from eventmart.plans.catalog import _FULL, ALERT_GAP, ZONE, _filled, _functions, _orgs, _users, query, with_views
+from eventmart.plans.jobs import REPORT_ATTRIBUTES, clean_clicks, connect_changes, connect_intents
 from eventmart.session import shared_folder, state_partitions
 from eventmart.sources.streams import read_json_stream, register_stream_table, with_event_time
 from eventmart.streaming import aggregates, misuse, sinks
 from eventmart.streaming.outputs import CommittedOutputs, quarantine_split, split_counts
 from eventmart.streaming.refire import RefiringReport
+from eventmart.streaming.running import RunningTotals, retract_into
 
 
 def _run(frame: DataFrame, mode: str, writer: sinks.BatchWriter, folder: str) -> None:
@@ -189,21 +190,79 @@ def stream_quarantine_counts(spark, sf):
     return split_counts(split, spark)
 
 
+_OWN_ORG = ", ".join(f"max({c}) as {c}" for c in OTHER_ORG)
+
+
 @query(
     "stream_running_totals",
-    "event_intents",
-    """select strftime(ts, '%Y-%m-%d') as day, dept_code,
+    "event_intents org",
+    f"""select strftime(ts, '%Y-%m-%d') as day, dept_code,
         cast(sum(case when op_flag in ('I', 'U') then 1 else -1 end) as bigint) as lend_cnt,
         cast(sum(case when op_flag in ('I', 'U') then amount else -amount end) as bigint) as lend_amount,
-        count(distinct user_id) as user_cnt from event_intents group by 1, 2""",
+        count(distinct user_id) as user_cnt, {_OWN_ORG}, arg_max(fund_code, (epoch_ms(ts), user_id, fund_code)) as fund_code
+        from event_intents join {_FULL} o on org_code = dept_code group by 1, 2""",
 )
 def stream_running_totals(spark, sf):
+    """Intents from text in three micro-batches of any order to running totals with every attribute."""
     folder = shared_folder(spark, "totals")
-    rows = _event_intents(spark, sf, "10 seconds").where("state = 9")
-    running = aggregates.running_totals(rows, totals.sign_of_operation(), totals.signed_amount())
-    target = sinks.UpsertTable(f"{folder}/totals", ("day", "dept_code"), "lend_cnt", ("day",))
-    _run(running, "update", target, folder)
-    return target.read(spark).withColumn("day", F.col("day").cast("string"))
+    intents = fixtures.view(spark, sf, "event_intents").withColumn("part", F.col("intent_id") % 3)
+    texts = fixtures.replayed(fixtures.flat_intent_json(intents, ("part",)), F.col("part"), 3, f"{folder}/in")
+    connected, _ = connect_intents(texts, _orgs(spark, sf))
+    rows, _ = parse.split_valid(parse.parse_intent(connected), parse.valid_event_time(allow_zero=True))
+    rows = rows.where("state = 9").withColumn("day", epoch_to_text("event_ms", "yyyy-MM-dd"))
+    running = RunningTotals(f"{folder}/totals", totals.sign_of_operation(), totals.signed_amount(), attributes=REPORT_ATTRIBUTES)
+    _run(rows, "append", running, folder)
+    return running.read(spark)
+
+
+@query(
+    "stream_running_delta",
+    "rows_ org",
+    f"""select coalesce(day, '1970-01-01') as day, dept_code, count(*) as lend_cnt,
+        cast(sum(case when op_flag = 'I' then amount
+            else amount - case when old_state in (4, 5, 7, 9) then old_amount else 0 end end) as bigint) as lend_amount,
+        count(distinct user_id) as user_cnt, {", ".join(f"max(o.{c}) as {c}" for c in OTHER_ORG)},
+        arg_max(fund_code, (coalesce(epoch_ms(ts), -1), intent_id)) as fund_code
+        from rows_ join {_filled('o', 'dept_code')} o on o.k = dept_code
+        where table_name = 'loan_intent' and state in (4, 5, 7, 9) and op_flag in ('I', 'U')
+            and (state_changed or amount_changed or fund_code_changed or op_flag = 'I')
+            and (ts is not null or old_dept_code is null) group by 1, 2""",  # a before image without a date is set aside
+)
+def stream_running_delta(spark, sf):
+    """Changes from text in three micro-batches to every day's totals, updates corrected by their before images."""
+    folder = shared_folder(spark, "delta")
+    intents = fixtures.intent_rows(spark, sf).withColumn("part", F.col("intent_id") % 3)
+    texts = fixtures.replayed(fixtures.cdc_json(intents, ("part",)), F.col("part"), 3, f"{folder}/in")
+    connected, _ = connect_changes(texts, _orgs(spark, sf), "loan_intent", ZONE)
+    rows, _ = parse.split_valid(cdc.unwrap_enriched(connected), F.lit(True))
+    changed = F.col("state_changed") | F.col("amount_changed") | F.col("fund_code_changed") | (F.col("op_flag") == "I")
+    rows = rows.where(changed & cdc.counted_state()).withColumn("day", epoch_to_text("event_ms", "yyyy-MM-dd", ZONE))
+    running = RunningTotals(
+        f"{folder}/totals", totals.delta_count(), totals.delta_amount(), ("I", "U"), attributes=REPORT_ATTRIBUTES, order=("event_ms", "intent_id")
+    )
+    _run(rows, "append", running, folder)
+    return running.read(spark)
+
+
+@query(
+    "stream_retractions",
+    "event_intents",
+    """select strftime(ts, '%Y-%m-%d') as day, count(distinct dept_code) as n_depts, count(*) as lend_cnt, cast(sum(amount) as bigint) as lend_amount
+        from event_intents group by 1""",
+)
+def stream_retractions(spark, sf):
+    """A day's totals summed from the changes of its departments' reports, which come anew with every batch."""
+    folder = shared_folder(spark, "retractions")
+    rows = fixtures.view(spark, sf, "event_intents").select("intent_id", "dept_code", "amount", "ts")
+    stream = fixtures.replayed(rows.withColumn("part", F.col("intent_id") % 3), F.col("part"), 3, f"{folder}/in")
+    report = stream.groupBy(F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd").alias("day"), "dept_code").agg(
+        F.count(F.lit(1)).alias("lend_cnt"), F.sum("amount").alias("lend_amount")
+    )
+    changes = CommittedOutputs(f"{folder}/changes")
+    table = sinks.UpsertTable(f"{folder}/table", ("day", "dept_code"), "lend_cnt", ("day",))
+    _run(report, "update", retract_into(changes, table), folder)
+    signed = [F.sum(F.col("sign") * F.col(c)).alias(c) for c in ("lend_cnt", "lend_amount")]
+    return changes.read(spark, "changes").groupBy("day").agg(F.sum("sign").alias("n_depts"), *signed)
 
 
 @query(
