@@ -31,10 +31,16 @@ from eventmart.llm.words import portions
 # Element kinds of HTML.
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span "
-    "strike strong sub sup time tt u var wbr".split()
+    "strike strong sub sup time tt u var wbr "
+    # A formula is text of its block.
+    "math mfrac mi mn mo mover mrow mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover semantics".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea title iframe svg object canvas select math".split())
+RAW = frozenset("script style noscript template textarea title iframe svg object canvas select".split())
+# What an unclosed one of hides up to the page's end, as browsers do.
+TO_THE_END = frozenset("script style".split())
+# Blocks of running text: what their id says is made from the heading, not a declaration.
+PLAIN = frozenset("h1 h2 h3 h4 h5 h6 p pre blockquote figure figcaption dl dt dd td th tr table tbody".split())
 ASIDE = frozenset("nav header footer aside form button menu dialog head fieldset".split())
 ARTICLE = frozenset("article main".split())
 # What a head may hold: any other tag, or text, closes a head whose end tag is left out.
@@ -55,8 +61,12 @@ OUTER_WORDS = frozenset(
 )
 # What a part of the article may be called in spite of that.
 _PART_WORDS = frozenset("header form legal copyright search".split())
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-_NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+# A quote opens a value only after an equals sign. Repeats are possessive: a tag is read once, whatever follows.
+_VALUE = r"(?:\"[^\"]*+\"|'[^']*+'|[^\s\"'>][^\s>]*+)"
+_ATTRIBUTES = rf"(?:[\s/]++|[^\s/>=]++(?:\s*+=\s*+{_VALUE})?+|=)*+"
+_TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)({_ATTRIBUTES})(?:>|\Z)", re.S)
+_NAMED = re.compile(r"(?<![\w-])(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_NOT = re.compile(r"(?:no|non|not|without)[-_]|.*[-_](?:free|off)\Z", re.I)
 _HIDDEN = re.compile(r"aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
 _WORD = re.compile(r"[A-Za-z][a-z]*|[A-Z]+(?![a-z])")
 # A word for weighing lines; in scripts without spaces each letter counts.
@@ -85,8 +95,15 @@ class _Element:
         self.tag, self.attributes, self.parent, self.closed, self.end = tag, attributes, parent, False, 0
 
 
-def _words(attributes: str) -> set[str]:
-    return {w.lower() for m in _NAMED.finditer(attributes) for w in _WORD.findall(m[1] or m[2] or m[3] or "")}
+def _words(attributes: str, names: bool = True) -> set[str]:
+    """Words of class and role, and of the id where `names`. What says that something is not there (`no-ads`) says nothing."""
+    found = set()
+    for m in _NAMED.finditer(attributes):
+        if names or m[1].lower() != "id":
+            for name in (m[2] or m[3] or m[4] or "").split():
+                if not _NOT.match(name):
+                    found |= {w.lower() for w in _WORD.findall(name)}
+    return found
 
 
 def _hidden(attributes: str) -> bool:
@@ -98,7 +115,9 @@ def _entered(tag: str, attributes: str, around: _Open, unclosed: bool = False) -
 
     An element without its end tag does not say where it ends: it declares nothing to be something else.
     """
-    words = _words(attributes) if attributes else set()
+    # Headings and sections of an article have ids made of their words.
+    made_up = tag in PLAIN or bool(around.inside) and tag == "section"
+    words = _words(attributes, names=not made_up) if attributes else set()
     inside, never, outer = around.inside, around.never, around.outer
     unclosed = unclosed and tag not in ARTICLE
     if tag == "article":
@@ -116,6 +135,17 @@ def _entered(tag: str, attributes: str, around: _Open, unclosed: bool = False) -
     return _Open(tag, inside, never, outer)
 
 
+def _partners(page: str, tag: str) -> dict[int, int]:
+    """Start of each element of an inline tag, and where its own end tag ends; elements without one are left out."""
+    found, open_ = {}, []
+    for m in re.finditer(rf"<(/?){re.escape(tag)}(?=[\s/>])[^<>]*>", page, re.I):
+        if not m[1]:
+            open_.append(m.start())
+        elif open_:
+            found[open_.pop()] = m.end()
+    return found
+
+
 def lines_of(page: str) -> list[tuple[str, int, bool]]:
     """(text, how its surroundings declare it, declared to be something else) of each block with text, in page order.
 
@@ -126,6 +156,10 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
     parts: list[str] = []
     elements: list[_Element] = [_Element("", "", 0)]
     stack = [0]
+    # After the last `>` there is no tag; what has no end tag from here on has none later.
+    until = page.rfind(">") + 1
+    endless: set[str] = set()
+    partners: dict[str, dict[int, int]] = {}
 
     def end_block() -> None:
         if parts:
@@ -142,7 +176,7 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
 
     at = 0
     while True:
-        found = _TOKEN.search(page, at)
+        found = _TOKEN.search(page, at, until) if at < until else None
         piece = page[at : found.start() if found else len(page)]
         if elements[stack[-1]].tag == "head" and piece.strip():
             leave(len(stack) - 1, True)
@@ -164,8 +198,9 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
         if tag in INLINE:
             # An inline element that is declared to be something else, as `<span class="ad">`, leaves its block as it is.
             if not closing and tag not in VOID and attributes and (_words(attributes) & NEVER_WORDS or _hidden(attributes)):
-                close = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
-                at = close.end() if close else at
+                if tag not in partners:
+                    partners[tag] = _partners(page, tag)
+                at = max(at, partners[tag].get(found.start(), at))
             continue
         end_block()
         if closing:
@@ -177,8 +212,12 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
                     break
         elif tag in RAW:
             if not attributes.rstrip().endswith("/"):
-                close = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
-                at = close.end() if close else len(page)
+                close = None if tag in endless else re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
+                if close:
+                    at = close.end()
+                else:
+                    endless.add(tag)
+                    at = len(page) if tag in TO_THE_END else at
         elif tag not in VOID:
             if tag in SELF_CLOSING and elements[stack[-1]].tag == tag:
                 leave(len(stack) - 1, True)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import html
 import math
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -306,3 +307,35 @@ def test_letters_of_all_scripts_count():
     windows, of = toxicity.spelled(["日本語文字".encode(), "漢字日語本".encode(), "дурак".encode(), "добро".encode(), "、。😀！".encode()])
     assert of.tolist() == [0, 1, 2, 3]
     assert len({tuple(row) for row in windows.tolist()}) == 4
+
+
+@pytest.mark.parametrize(
+    ("inner", "want"),
+    [
+        ('<section id="discussion"><p>one two</p></section>', "one two"),
+        ('<p id="share-prices">prices</p>', "prices"),
+        ('<p class="no-ads">none</p>', "none"),
+        ('<h2 id="related-work">Related work</h2>', "Related work"),
+        ('<h2 id="navigation-systems">Navigation</h2>', "Navigation"),
+        ("<p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn></math> be.</p>", "Let x=1 be."),
+        ("<p title=it's>We don't know why</p><p>more</p>", "We don't know why\n\nmore"),
+        ('<p title="abc>some text</p>', "some text"),
+        ("<select>x<p>after</p>", "x\n\nafter"),
+        ("<svg><p>after</p>", "after"),
+        ('<p>See <span class="ad"><span>buy</span> CHEAP</span> this</p>', "See this"),
+        ('<div class="related-links">other</div><p>own</p>', "own"),
+        ("<p>a < b and c > d</p>", "a < b and c > d"),
+    ],
+)
+def test_no_text_of_an_article_is_lost(inner, want):
+    lines = html_diff.lines_of(f"<html><body><article>{inner}</article></body></html>")
+    assert html_diff.main_text(lines, None) == want
+
+
+@pytest.mark.parametrize("unit", ["<b ", "<span class=ad>", "<svg>", '<b a="', "<!-- ", "<p a='", '<p title="', "<", "<a href=", "</p "])
+@pytest.mark.parametrize("end", ["", ">"])
+def test_tags_are_scanned_once(unit, end):
+    """Broken tags by the ten thousands take a moment, not time that grows with their square."""
+    started = time.time()
+    html_diff.lines_of(unit * 50_000 + end)
+    assert time.time() - started < 5
