@@ -836,9 +836,9 @@ def hot_topn(spark, sf):
 @query(
     "hot_report_text",
     "ranked",
-    f"""select window_end, '时间：' || strftime(window_end, '%Y-%m-%d %H:%M:%S') || '.0' || chr(10)
-        || string_agg('第' || rank || '名功能 ' || func_id || ' pv=' || cnt || chr(10) || '{"=" * 40}' || chr(10), ''
-            order by rank) as report
+    f"""select window_end, '{topn.HEAD}' || strftime(window_end, '%Y-%m-%d %H:%M:%S') || '.0' || chr(10)
+        || string_agg('{topn.RANK}' || rank || '{topn.FUNCTION}' || func_id || '{topn.VIEWS}' || cnt || chr(10)
+            || '{topn.RULE}' || chr(10), '' order by rank) as report
         from ranked group by window_end""",
 )
 def hot_report_text(spark, sf):
@@ -921,7 +921,7 @@ def misuse_alert(spark, sf):
 @query(
     "misuse_alert_text",
     "clicks",
-    f"""select user_id, alert_ts, 'user_id --> ' || user_id || ' 被他人盗用' as alert from (
+    f"""select user_id, alert_ts, '{alerts.ALERT_HEAD}' || user_id || '{alerts.ALERT_TAIL}' as alert from (
             select user_id, min(ts) as alert_ts from clicks a where exists (
                 select 1 from clicks b where b.user_id = a.user_id and b.func_id <> a.func_id
                 and b.ts <= a.ts and b.ts >= a.ts - interval '{ALERT_GAP}' second)

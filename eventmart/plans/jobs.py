@@ -119,8 +119,12 @@ def _prefixed(orgs: Dimension, prefix: str) -> Dimension:
 def connect_changes(
     raw: DataFrame, orgs: Dimension, table: str, tz: str = "UTC", keep: Sequence[str] = ()
 ) -> tuple[DataFrame, DataFrame]:
-    """Change records of one table with organisations (default bucket) and loan dates in epoch ms."""
+    """Change records of one table with organisations (default bucket) and loan dates in epoch ms.
+
+    A record that names no table is set aside; one of another table is not this job's.
+    """
     parsed, unreadable = parse.split_valid(cdc.parse_change(raw, keep=keep), F.lit(True))
+    unnamed = parsed.where(F.col("tableName").isNull()).withColumn(parse.CORRUPT, F.lit(None).cast("string"))
     parsed = cdc.filter_table(parsed, table).withColumn(parse.CORRUPT, F.lit(None).cast("string"))
     dated = parsed.withColumns(
         {
@@ -150,7 +154,7 @@ def connect_changes(
         *_org_members(),
         before.alias("beforeRecord"),
     ]
-    return parse.to_json_value(good, members, keep), bad.select(*parsed.columns).unionByName(unreadable)
+    return parse.to_json_value(good, members, keep), bad.select(*parsed.columns).unionByName(unnamed).unionByName(unreadable)
 
 
 REPORT_ATTRIBUTES = (*ORG_MEMBERS, "fund_code")

@@ -105,7 +105,7 @@ def test_half_a_second_apart(spark):
         "ts timestamp_ntz, user_id string, func_id string",
     )
     got = alerts.alert_text(alerts.misuse_alerts(frame, 1)).collect()
-    assert [(r["alert_ts"], r["alert"]) for r in got] == [(at(1.3), "user_id --> other 被他人盗用")]
+    assert [(r["alert_ts"], r["alert"]) for r in got] == [(at(1.3), f"{alerts.ALERT_HEAD}other{alerts.ALERT_TAIL}")]
 
 
 # --- totals and change records ---

@@ -95,6 +95,6 @@ def test_ranking_text(spark):
     ranked = spark.createDataFrame(
         [(START, "b", 1, 2), (START, "a", 3, 1)], "window_end timestamp_ntz, func_id string, cnt bigint, rank int"
     )
-    assert topn.ranking_text(ranked).first()["report"] == (
-        f"时间：2024-01-01 00:00:00.0\n第1名功能 a pv=3\n{'=' * 40}\n第2名功能 b pv=1\n{'=' * 40}\n"
-    )
+    entry = lambda rank, func, cnt: f"{topn.RANK}{rank}{topn.FUNCTION}{func}{topn.VIEWS}{cnt}\n{topn.RULE}\n"
+    head = f"{topn.HEAD}2024-01-01 00:00:00.0\n"
+    assert topn.ranking_text(ranked).first()["report"] == head + entry(1, "a", 3) + entry(2, "b", 1)
