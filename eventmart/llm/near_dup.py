@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from eventmart.llm.components import components
 from eventmart.llm.words import find_words, mixed, portions, shingles
+from eventmart.llm.worker import tidy
 from eventmart.session import written
 
 HASHES, BANDS = 300, 50
@@ -254,7 +255,7 @@ def star_links(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
         .join(full, "rep")
         .repartition("lead", "salt")
         .sortWithinPartitions("lead", "salt", "role")
-        .mapInArrow(verify_star(percent), LINK)
+        .mapInArrow(tidy(verify_star(percent)), LINK)
     )
 
 
@@ -318,7 +319,7 @@ def block_links(rows: DataFrame, comps: DataFrame, full: DataFrame, percent: int
         .join(full, "rep")
         .repartition("c1", "c2")
         .sortWithinPartitions("c1", "c2")
-        .mapInArrow(verify_blocks(percent), LINK)
+        .mapInArrow(tidy(verify_blocks(percent)), LINK)
     )
 
 
@@ -341,7 +342,7 @@ def find_links(source: DataFrame, bands: DataFrame, width: int, percent: int) ->
         return None
     ids = candidates if count > SENT_IDS else F.broadcast(candidates)
     texts = source.join(ids, source["doc_id"] == candidates["rep"], "left_semi")
-    full = written(texts.mapInArrow(second_pass(width), FULL), "sets")
+    full = written(texts.mapInArrow(tidy(second_pass(width)), FULL), "sets")
 
     first = written(best_leads(buckets.select("rep", F.col("lead1").alias("lead"))), "leads")
     links = written(star_links(first, full, percent), "links")
@@ -393,7 +394,7 @@ def near_dup(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     are ignored; an empty frame gives none.
     """
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = written(source.mapInArrow(first_pass(width), FIRST), "rows")
+    rows = written(source.mapInArrow(tidy(first_pass(width)), FIRST), "rows")
     whole = rows.where("n > 0 and doc_id is not null")
     classes = written(whole.groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("rep")), "classes")
     heads = whole.join(

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventmart.llm.words import find_words, portions
+from eventmart.llm.worker import held, tidy
 from eventmart.session import written
 
 CAPACITY = 4096
@@ -114,12 +115,9 @@ class WordIds:
             yield ids[low:high]
 
 
-_stores: dict[str, WordIds] = {}
-
-
 def cut(path: str, capacity: int, least: int, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store = _stores.get(path) or _stores.setdefault(path, WordIds(path))
+        store = held(("ids", path), lambda: WordIds(path))
         part, counts = TaskContext.get().partitionId(), {}
         for batch in portions(batches):
             ids, start, length, crc, tokens, nth = [], [], [], [], [], []
@@ -139,7 +137,7 @@ def cut(path: str, capacity: int, least: int, end_id: int):
             names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "part", "nth"]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return run
+    return tidy(run, keep=True)
 
 
 def fill_rest(capacity: int):

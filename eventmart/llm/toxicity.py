@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventmart.llm.words import Words, find_words, portions
+from eventmart.llm.worker import held, tidy
 
 PER_LABEL = 1200
 LONGEST = 20_000
@@ -425,22 +426,16 @@ class Judge:
         return best
 
 
-_judges: dict[Model, Judge] = {}
-
-
 def judge(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = _judges.get(model)
-        if own is None:
-            _judges.clear()
-            own = _judges[model] = Judge(model)
+        own = held(("judge", model), lambda: Judge(model))
         for batch in portions(batches):
             score = own.model.probability(own.texts(batch.column("text")))
             columns = [batch.column(c) for c in batch.schema.names if c != "text"]
             names = [c for c in batch.schema.names if c != "text"]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(score)], names=[*names, "score"])
 
-    return run
+    return tidy(run, keep=True)
 
 
 def train(docs: DataFrame, labels: DataFrame, learned: Column, per_label: int = PER_LABEL, longest: int = LONGEST) -> Model:
@@ -473,12 +468,9 @@ def drop_toxic(docs: DataFrame, model: Model, limit: float = 0.5) -> DataFrame:
     """The rows of `docs` with a score below `limit`, all columns. Decided row by row as the texts pass, without a shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = _judges.get(model)
-        if own is None:
-            _judges.clear()
-            own = _judges[model] = Judge(model)
+        own = held(("judge", model), lambda: Judge(model))
         for batch in portions(batches):
             score = own.model.probability(own.texts(batch.column("text")))
             yield batch.filter(pa.array(score < limit))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run, keep=True), docs.schema)
