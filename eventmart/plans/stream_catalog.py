@@ -17,7 +17,7 @@ from eventmart.sources.streams import read_json_stream, register_stream_table, w
 from eventmart.streaming import aggregates, misuse, sinks
 from eventmart.streaming.outputs import CommittedOutputs, quarantine_split, split_counts
 from eventmart.streaming.refire import RefiringReport
-from eventmart.streaming.running import RunningTotals, retract_into
+from eventmart.streaming.running import RunningTotals, ordered_into, retract_into
 
 
 def _run(frame: DataFrame, mode: str, writer: sinks.BatchWriter, folder: str) -> None:
@@ -265,6 +265,29 @@ def stream_retractions(spark, sf):
     return changes.read(spark, "changes").groupBy("day").agg(F.sum("sign").alias("n_depts"), *signed)
 
 
+@query(
+    "stream_ordered_changes",
+    "event_intents",
+    """select dept_code, count(*) as n_records, cast(sum(amount) as bigint) as amount from (
+            select intent_id % 5000 as record, arg_max(dept_code, intent_id) as dept_code, arg_max(amount, intent_id) as amount
+            from event_intents group by 1) x group by 1""",
+)
+def stream_ordered_changes(spark, sf):
+    """Versions of records that come out of order and, a tenth of them, twice: totals per department of the last versions."""
+    folder = shared_folder(spark, "ordered")
+    rows = fixtures.view(spark, sf, "event_intents")
+    rows = rows.select((F.col("intent_id") % 5000).alias("record"), F.col("intent_id").alias("version"), "dept_code", "amount", "ts")
+    again = rows.where("version % 10 = 0").withColumn("part", F.lit(2))
+    sent = rows.withColumn("part", F.lit(2) - F.col("version") % 3).unionByName(again.select(*rows.columns, F.col("part").cast("long")))
+    stream = with_event_time(fixtures.replayed(sent, F.col("part"), 3, f"{folder}/in"), delay="60 days")
+    stream = stream.dropDuplicatesWithinWatermark(["record", "version"]).drop("ts")
+    changes = CommittedOutputs(f"{folder}/changes")
+    table = sinks.UpsertTable(f"{folder}/table", ("record",), "version", ("record",))
+    _run(stream, "append", ordered_into(changes, table, "version"), folder)
+    signed = F.sum(F.col("sign") * F.col("amount")).alias("amount")
+    return changes.read(spark, "changes").groupBy("dept_code").agg(F.sum("sign").alias("n_records"), signed)
+
+
 @query(
     "stream_slot_report",
     "clicks",

@@ -117,3 +117,31 @@ def retract_into(outputs: CommittedOutputs, table: UpsertTable) -> BatchWriter:
             batch.unpersist()
 
     return write
+
+
+def newer(table: UpsertTable, batch: DataFrame, batch_id: int, version: str) -> DataFrame:
+    """Of each record the batch's greatest version, if it is greater than the table's: replayed and overtaken changes fall away."""
+    keys = list(table.keys)
+    latest = merge.last_per_key(batch, keys, version)
+    old = table.read(batch.sparkSession, before=batch_id)
+    if old is None:
+        return latest
+    known = merge.present(old.select(*keys, version), latest.select(*keys), keys)
+    both = known.withColumn("__old", F.lit(True)).unionByName(latest.select(*keys, version).withColumn("__old", F.lit(False)))
+    # A record is overtaken where its version in the table is as great at least.
+    best = both.groupBy(*keys).agg(F.max(F.struct(version, "__old")).alias("best"))
+    return merge.absent(latest, best.where("best.__old").select(*keys), keys)
+
+
+def ordered_into(outputs: CommittedOutputs, table: UpsertTable, version: str) -> BatchWriter:
+    """A foreachBatch writer of versioned changes in any order, with repeats: `table` keeps each record's last version, `changes` its
+    retractions, so that their signed sums are those of the clean input.
+
+    Repeats within the watermark may be dropped before (`dropDuplicatesWithinWatermark`); what comes later is dropped here.
+    """
+    into = retract_into(outputs, table)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        into(newer(table, batch, batch_id, version), batch_id)
+
+    return write

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from eventmart.operators import totals
 from eventmart.streaming.outputs import CommittedOutputs
-from eventmart.streaming.running import RunningTotals, retract_into
+from eventmart.streaming.running import RunningTotals, ordered_into, retract_into
 from eventmart.streaming.upsert_table import UpsertTable
 
 KIND = "day string, dept_code string, user_id string, op_flag string, amount long, event_ms long, fund_code string"
@@ -100,3 +100,25 @@ def test_retractions_add_up(spark, folder):
         assert tuple(signed) == tuple(table.read(spark).agg(F.sum("m"), F.count(F.lit(1))).first())
     changes = sorted(((r.version, r.k or "", r.m, r.sign) for r in out.read(spark, "changes").collect()))
     assert [c[1:] for c in changes if c[0] == 1] == [("", 1, 1), ("a", 5, 1), ("a", 10, -1)]
+
+
+def test_changes_in_any_order(spark, folder):
+    """Reordered, repeated and replayed changes give the totals of the clean input."""
+    rng = random.Random(7)
+    changes = [(f"r{i % 9}" if i % 9 else None, i, rng.choice("ab"), rng.randint(1, 50)) for i in range(80)]
+    table = UpsertTable(f"{folder}/t", ("record",), "version", ("record",))
+    out = CommittedOutputs(f"{folder}/changes")
+    writer = ordered_into(out, table, "version")
+    seen = changes + rng.sample(changes, 40)
+    rng.shuffle(seen)
+    for batch_id in range(5):
+        frame = spark.createDataFrame(seen[batch_id::5], "record string, version int, dept string, amount int")
+        for _ in range(2):
+            writer(frame, batch_id)
+    last = {}
+    for record, version, dept, amount in changes:
+        last[record] = (dept, amount)
+    want = {d: (sum(a for x, a in last.values() if x == d), sum(x == d for x, _ in last.values())) for d in "ab"}
+    signed = out.read(spark, "changes").groupBy("dept").agg(F.sum(F.col("sign") * F.col("amount")).alias("a"), F.sum("sign").alias("n"))
+    assert {r.dept: (r.a, r.n) for r in signed.collect()} == want
+    assert {r.record: (r.dept, r.amount) for r in table.read(spark).collect()} == last
