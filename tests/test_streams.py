@@ -365,3 +365,40 @@ def test_periodic_firing_emits_the_running_result(spark, folder):
         query.stop()
     assert (first["lend_cnt"], first["lend_amount"], first["user_cnt"]) == (1, 2, 1)
     assert (second["lend_cnt"], second["lend_amount"], second["user_cnt"]) == (3, 6, 1)
+
+
+@pytest.mark.parametrize("kind", ["windows", "top", "alerts", "late"])
+def test_restart_from_the_checkpoint(spark, folder, click_files, click_batch, kind):
+    """Half of the files, a stop, and a new query on the same checkpoint with the rest: as if it had run through."""
+
+    def start(path):
+        clicks = click_stream(spark, path)
+        if kind == "windows":
+            run(aggregates.hop_pv_uv(clicks, ["func_id"], 3600, 300), "append", sinks.append_to(f"{folder}/out"), folder)
+        elif kind == "top":
+            counts = aggregates.hop_count(clicks, ["func_id"], 600, 60)
+            run(counts, "append", sinks.append_to(f"{folder}/out", lambda batch: topn.top_n(batch, 2)), folder)
+        elif kind == "alerts":
+            run(misuse.misuse_alerts(clicks, 3600), "append", sinks.append_to(f"{folder}/out"), folder)
+        else:
+            run(clicks, "append", LateRouter(f"{folder}/out", seconds=60), folder)
+
+    names = sorted(os.listdir(click_files))
+    for some in (names[:2], names[2:]):
+        for name in some:
+            with open(f"{click_files}/{name}") as file:
+                write_texts(f"{folder}/in", name, file.read().splitlines())
+        start(f"{folder}/in")
+    newest = click_batch.agg(F.max("ts")).first()[0]
+    if kind == "windows":
+        columns, expected = ["window_start", "window_end", "func_id", "pv", "uv"], zoned(windows.hop_pv_uv(click_batch, ["func_id"], 3600, 300))
+        expected = closed(expected, newest, 10)
+    elif kind == "top":
+        columns, expected = ["window_end", "func_id", "cnt", "rank"], closed(zoned(topn.hot_functions(click_batch, 2, 600, 60)), newest, 10)
+    elif kind == "alerts":
+        cell_end = F.timestamp_seconds((F.floor(F.unix_seconds("alert_ts") / 3600) + 1) * 3600)
+        columns, expected = ["user_id", "alert_ts"], closed(alerts.misuse_alerts(click_batch, 3600).withColumn("end", cell_end), newest, 10, "end")
+    else:
+        columns, expected = ["user_id", "ts"], click_batch  # in order of time, so nothing is late
+    out = f"{folder}/out/on_time" if kind == "late" else f"{folder}/out"
+    assert rows(spark.read.parquet(out), columns) == rows(expected, columns)
