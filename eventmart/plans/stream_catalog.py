@@ -13,7 +13,7 @@ from eventmart.operators.enrich import OTHER_ORG
 from eventmart.plans.catalog import _FULL, ALERT_GAP, ZONE, _filled, _functions, _orgs, _users, query, with_views
 from eventmart.plans.jobs import REPORT_ATTRIBUTES, clean_clicks, connect_changes, connect_intents
 from eventmart.session import shared_folder, state_partitions
-from eventmart.sources.streams import read_json_stream, register_stream_table, with_event_time
+from eventmart.sources.streams import register_stream_table, with_event_time
 from eventmart.streaming import aggregates, misuse, sinks
 from eventmart.streaming.outputs import CommittedOutputs, quarantine_split, split_counts
 from eventmart.streaming.refire import RefiringReport
@@ -63,6 +63,35 @@ def stream_clean_json(spark, sf):
     return spark.read.text(f"{folder}/clean")
 
 
+def _log_table(spark, sf) -> str:
+    """The clean topic, in several micro-batches and with a closing record, declared as the streamed table `log_table`."""
+    folder = shared_folder(spark, "table")
+    sinks.run_available(clean_stream(spark, sf, folder), f"{folder}/clean_checkpoint")
+    clean = spark.read.text(f"{folder}/clean")
+    end = F.lit(f'{{"logoptime":"{fixtures.CLOSING.replace(" ", "T")}.000Z"}}').alias("value")
+    read = clean.select("value", F.dayofmonth(F.get_json_object("value", "$.logoptime")).alias("day"))
+    read = read.select("value", F.coalesce(F.floor((F.col("day") - 1) / 12), F.lit(0)).alias("part"))
+    texts = fixtures.replayed(read.unionByName(spark.range(1).select(end, F.lit(3).alias("part"))), F.col("part"), 4, f"{folder}/read")
+    register_stream_table(texts, "log_table", schemas.CLEAN_CLICK, "logoptime")
+    return folder
+
+
+@query(
+    "stream_select_all",
+    sql=_clean_sql(
+        """select app_id as "appId", func_id as "funcId", func_name as "funcName", strftime(ts, '%Y-%m-%d %H:%M:%S') as "stropDate",
+        org_code as "orgCode", org_name as "orgName", user_id as "userId", user_name as "userName", ts as rowtime
+        from clean where event_id % 51 <> 0"""
+    ),
+)
+def stream_select_all(spark, sf):
+    """All columns of the registered stream table, as they come."""
+    folder = _log_table(spark, sf)
+    _run(spark.sql("select * from log_table"), "append", sinks.append_to(f"{folder}/all"), folder)
+    found = spark.read.parquet(f"{folder}/all").drop("batch_id")
+    return _wall_clock(found.where(F.col("rowtime") < F.lit(fixtures.CLOSING).cast("timestamp")))
+
+
 @query(
     "stream_table_pv_uv",
     sql=_clean_sql(
@@ -77,14 +106,7 @@ def stream_clean_json(spark, sf):
 )
 def stream_table_pv_uv(spark, sf):
     """The clean topic declared as a table with event time, and PV/UV of its 60-minute windows."""
-    folder = shared_folder(spark, "table")
-    sinks.run_available(clean_stream(spark, sf, folder), f"{folder}/clean_checkpoint")
-    clean = spark.read.text(f"{folder}/clean")
-    end = F.lit(f'{{"logoptime":"{fixtures.CLOSING.replace(" ", "T")}.000Z"}}').alias("value")
-    read = clean.select("value", F.dayofmonth(F.get_json_object("value", "$.logoptime")).alias("day"))
-    read = read.select("value", F.coalesce(F.floor((F.col("day") - 1) / 12), F.lit(0)).alias("part"))
-    texts = fixtures.replayed(read.unionByName(spark.range(1).select(end, F.lit(3).alias("part"))), F.col("part"), 4, f"{folder}/read")
-    register_stream_table(texts, "log_table", schemas.CLEAN_CLICK, "logoptime")
+    folder = _log_table(spark, sf)
     rows = spark.sql("select *, substring(stropDate, 1, 10) as action_day from log_table")
     keys = ["appId", "funcId", "funcName", "orgCode", "orgName", "action_day"]
     report = aggregates.hop_pv_uv(rows, keys, 3600, 300, ts="rowtime", user="userId")

@@ -60,10 +60,12 @@ class RunningTotals:
             fresh = (here if seen is None else merge.absent(here, seen, [*keys, user])).withColumn("__first", F.lit(batch_id).cast("long"))
             fresh.persist()
             try:
-                nothing = F.lit(0).cast("long")
-                parts = steps.select(*keys, F.col("c").alias("lend_cnt"), F.col("a").alias("lend_amount"), nothing.alias("user_cnt"), "last")
-                none = F.lit(None).cast(steps.schema["last"].dataType).alias("last")
-                parts = parts.unionByName(fresh.select(*keys, nothing.alias("lend_cnt"), nothing.alias("lend_amount"), F.lit(1).cast("long").alias("user_cnt"), none))
+                zero, one = (F.lit(n).cast("long") for n in (0, 1))
+                none = F.lit(None).cast(steps.schema["last"].dataType)
+                sums = [(F.col("c"), F.col("a"), zero, F.col("last"), steps), (zero, zero, one, none, fresh)]
+                names = ("lend_cnt", "lend_amount", "user_cnt", "last")
+                added, sights = (rows.select(*keys, *(v.alias(n) for v, n in zip(values, names))) for *values, rows in sums)
+                parts = added.unionByName(sights)
                 old = self._of_days(self.totals.read(spark, before=batch_id), days)
                 if old is not None:
                     parts = parts.unionByName(merge.present(old, steps.select(*keys).distinct(), keys))
