@@ -368,7 +368,8 @@ def with_roots(words: DataFrame) -> DataFrame:
     steps = written(words.where("form is not null").select("word", F.col("form").alias("root")), "forms")
     while True:
         further = steps.select(F.col("word").alias("root"), F.col("root").alias("__next"))
-        joined = steps.join(further, "root", "left").select("word", F.coalesce("__next", "root").alias("root"), F.col("__next").isNotNull().alias("moved"))
+        moved = F.col("__next").isNotNull().alias("moved")
+        joined = steps.join(further, "root", "left").select("word", F.coalesce("__next", "root").alias("root"), moved)
         joined = written(joined, "roots")
         steps = joined.select("word", "root")
         if joined.where("moved").isEmpty():
@@ -381,7 +382,8 @@ def variants(docs: DataFrame, leaf: int = LEAF, sample: int = SAMPLE, ratio: int
     """One row per word: word, form, root, n, n_near, form_n."""
     words = written(word_counts(docs), "words")
     parts = search_leaves(deal(words, fit_trees(words, leaf, sample)))
-    own = words.select("word", "n", F.lit(0).cast("long").alias("n_near"), F.lit(None).cast("long").alias("best_n"), F.lit(None).cast("string").alias("best"))
+    none = [F.lit(value).cast(kind).alias(name) for value, kind, name in ((0, "long", "n_near"), (None, "long", "best_n"), (None, "string", "best"))]
+    own = words.select("word", "n", *none)
     # The least of (-n, word): the most frequent partner, the first one of equals.
     best: Column = F.min(F.when(F.col("best").isNotNull(), F.struct((-F.col("best_n")).alias("less"), F.col("best").alias("word"))))
     found = own.unionByName(parts).groupBy("word").agg(F.max("n").alias("n"), F.sum("n_near").alias("n_near"), best.alias("best"))
