@@ -26,9 +26,13 @@ def _as_text(kind: T.DataType) -> T.DataType:
 
 
 def _whole(text: Column, kind: T.DataType) -> Column:
-    """A whole number written as such, or as a decimal or power of ten without a fraction (`500.0`, `1e3`)."""
-    exact = text.try_cast(T.DecimalType(38, 10))
-    return F.coalesce(text.try_cast(kind), F.when(exact == F.floor(exact), exact.try_cast(kind)))
+    """A whole number written as such, or as a decimal or power of ten without a fraction (`500.0`, `1e3`).
+
+    A cast that fails costs an exception inside Spark, many times a parse; texts that hold a letter or sign that no such number has
+    are not cast.
+    """
+    exact = F.when(~text.rlike("[A-DF-Za-df-z/]"), text.try_cast(T.DecimalType(38, 10)))
+    return F.coalesce(F.when(~text.rlike("[.A-Za-z/]"), text.try_cast(kind)), F.when(exact == F.floor(exact), exact.try_cast(kind)))
 
 
 def _typed(column: Column, kind: T.DataType) -> Column:

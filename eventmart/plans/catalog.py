@@ -1129,7 +1129,9 @@ def parse_decimals(spark, sf):
     amount = F.expr(_AMOUNT_FORMS.format(text="string"))
     text = F.concat(F.lit('{"lamount":'), amount, F.lit(',"nstate":"'), F.col("state").cast("string"), F.lit('.0"}'))
     texts = _intents(spark, sf).select("intent_id", text.alias("value"))
-    good, bad = parse.split_valid(parse.parse_intent(texts, keep=["intent_id"]), F.lit(True))
     columns = ["intent_id", "state", "amount"]
+    # Written once: both sides of the split would parse all texts.
+    parsed = written(parse.parse_intent(texts, keep=["intent_id"]).select(*columns, parse.CORRUPT), "parsed")
+    good, bad = parse.split_valid(parsed, F.lit(True))
     both = good.select(*columns, F.lit(False).alias("set_aside"))
     return both.unionByName(bad.select(*columns, F.lit(True).alias("set_aside")))

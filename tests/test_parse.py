@@ -1,9 +1,11 @@
+import conftest
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventmart import schemas
 from eventmart.operators import parse
+from eventmart.plans import catalog
 from eventmart.schemas import LONG, STRING, struct
 
 SMALL = struct(a=STRING, n=LONG)
@@ -99,3 +101,20 @@ def test_odd_numbers_in_nested_members(spark):
     good, bad = parse.split_valid(parse.parse_json(frame, nested, keep=["i"]), F.lit(True))
     assert {r.i: (r.r and r.r.n, r.data and [d.score for d in r.data]) for r in good.collect()} == {0: (4, [1.5]), 3: (None, None)}
     assert sorted(r.i for r in bad.collect()) == [1, 2]
+
+
+def test_whole_numbers_as_by_plain_casts(spark):
+    """Texts that are not cast, as their letters rule them out, are those whose cast fails."""
+    texts = ["7", " 7 ", "+7", "-7", "7.0", "7.", ".0", "7.5", "1e3", "1E3", "1e-3", "1,5", "", " ", "n/a", "e", "--7", "0x7", "1/2", "٧", "7_0", "9" * 19, "1f", "NaN", None]
+    frame = spark.createDataFrame([(t,) for t in texts], "t string")
+    kind, text = T.LongType(), F.col("t")
+    exact = text.try_cast(T.DecimalType(38, 10))
+    plain = F.coalesce(text.try_cast(kind), F.when(exact == F.floor(exact), exact.try_cast(kind)))
+    found = frame.select("t", parse._whole(text, kind).alias("a"), plain.alias("b")).collect()
+    assert [r.a for r in found] == [r.b for r in found]
+
+
+def test_decimals_are_parsed_once(spark):
+    """Both sides of the split read what was parsed."""
+    plan = catalog.QUERIES["parse_decimals"](spark, conftest.SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert "from_json" not in plan
