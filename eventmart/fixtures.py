@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventmart.functions import day_text, local_text
+from eventmart.streaming.files import copies, names
 
 VIEWS: dict[str, str] = {
     "clicks": """
@@ -125,15 +126,31 @@ def stream_view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.sql(text, **inputs)
 
 
+#: Rows that one task reads and one file of a replayed part holds, about.
+FILE_ROWS = 1_000_000
+
+
 def replayed(rows: DataFrame, part: Column, parts: int, folder: str) -> DataFrame:
-    """Rows as a stream that brings those of each part in a micro-batch of its own, in order; texts (`value` alone) as text files."""
+    """Rows as a stream that brings those of each part in a micro-batch of its own, in order; texts (`value` alone) as text files.
+
+    The number of files grows with the rows. A micro-batch takes the same number of files each time, so parts of fewer
+    files are filled up with empty ones.
+    """
     spark = rows.sparkSession
     kind = "text" if rows.columns == ["value"] or set(rows.columns) == {"part", "value"} else "parquet"
     plain = [c for c in rows.columns if c != "part"]
+    count = max(1, -(-rows.count() // FILE_ROWS))
     for nth in range(parts):
-        rows.where(part == nth).select(*plain).coalesce(1).write.format(kind).save(f"{folder}/{nth:03}")
+        target = f"{folder}/{nth:03}"
+        rows.where(part == nth).select(*plain).coalesce(count).write.format(kind).save(target)
+        there = sum(name.startswith("part-") for name in names(spark, target))
+        if there < count:
+            spare = f"{folder}-empty/{nth:03}"
+            rows.limit(0).select(*plain).coalesce(1).write.format(kind).save(spare)
+            empty = next(name for name in names(spark, spare) if name.startswith("part-"))
+            copies(spark, f"{spare}/{empty}", [f"{target}/empty-{i:05}-{empty}" for i in range(count - there)])
     reader = spark.readStream.format(kind).schema(rows.select(*plain).schema)
-    return reader.option("maxFilesPerTrigger", 1).load(f"{folder}/*")
+    return reader.option("maxFilesPerTrigger", count).load(f"{folder}/*")
 
 
 # Decades after all rows: closes every window of a finite input.

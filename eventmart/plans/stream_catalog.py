@@ -71,7 +71,7 @@ def _log_table(spark, sf) -> str:
     end = F.lit(f'{{"logoptime":"{fixtures.CLOSING.replace(" ", "T")}.000Z"}}').alias("value")
     read = clean.select("value", F.dayofmonth(F.get_json_object("value", "$.logoptime")).alias("day"))
     read = read.select("value", F.coalesce(F.floor((F.col("day") - 1) / 12), F.lit(0)).alias("part"))
-    texts = fixtures.replayed(read.unionByName(spark.range(1).select(end, F.lit(3).alias("part"))), F.col("part"), 4, f"{folder}/read")
+    texts = fixtures.replayed(read.unionByName(spark.range(0, 1, 1, 1).select(end, F.lit(3).alias("part"))), F.col("part"), 4, f"{folder}/read")
     register_stream_table(texts, "log_table", schemas.CLEAN_CLICK, "logoptime")
     return folder
 

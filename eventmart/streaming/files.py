@@ -69,3 +69,10 @@ def commit_text(spark: SparkSession, path: str, text: str) -> bool:
             return False
         raise failure
     return True
+
+
+def copies(spark: SparkSession, source: str, targets: list[str]) -> None:
+    """Copies of a small file, one under each target name."""
+    fs, place = _path(spark, source)
+    for target in targets:
+        spark._jvm.org.apache.hadoop.fs.FileUtil.copy(fs, place, fs, _path(spark, target)[1], False, spark._jsc.hadoopConfiguration())

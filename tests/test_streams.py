@@ -402,3 +402,16 @@ def test_restart_from_the_checkpoint(spark, folder, click_files, click_batch, ki
         columns, expected = ["user_id", "ts"], click_batch  # in order of time, so nothing is late
     out = f"{folder}/out/on_time" if kind == "late" else f"{folder}/out"
     assert rows(spark.read.parquet(out), columns) == rows(expected, columns)
+
+
+def test_replayed_parts_of_several_files(spark, folder, monkeypatch):
+    """Each part is one micro-batch, whatever its number of files; no file and no task holds a whole part."""
+    monkeypatch.setattr(fixtures, "FILE_ROWS", 100)
+    rows = spark.range(0, 1000, 1, 8).withColumn("part", F.when(F.col("id") == 7, 1).when(F.col("id") < 600, 0).otherwise(3))
+    for kind, frame in (("parquet", rows), ("text", rows.select("part", F.col("id").cast("string").alias("value")))):
+        stream = fixtures.replayed(frame, F.col("part"), 4, f"{folder}/{kind}/in")
+        run(stream, "append", sinks.append_to(f"{folder}/{kind}/out"), f"{folder}/{kind}")
+        found = {row[0]: row[1] for row in spark.read.parquet(f"{folder}/{kind}/out").groupBy("batch_id").count().collect()}
+        assert found == {0: 599, 1: 1, 3: 400}
+        written = spark.read.format(kind).load(f"{folder}/{kind}/in/000").groupBy(F.input_file_name()).count()
+        assert written.count() > 1 and written.agg(F.max("count")).first()[0] <= 200
