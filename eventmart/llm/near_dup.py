@@ -22,7 +22,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventmart.llm.components import components
@@ -292,13 +292,17 @@ def block_links(rows: DataFrame, comps: DataFrame, full: DataFrame, percent: int
     """
     sizes = comps.groupBy("comp").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= BLOCK // 8)
     own = sizes.select("comp", F.col("comp").alias("own"))
-    classes = rows.groupBy("rep", "comp").agg(F.max(F.struct("m", "key")).alias("at"))
-    classes = classes.join(own, "comp", "left").select("rep", "comp", F.col("at.key").alias("home"), F.coalesce("own", F.lit(-1)).alias("own"))
-    classes = written(classes, "classes")
-    blocks = classes.groupBy("home", "own").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
+    of_rep = Window.partitionBy("rep")  # at most a row per band
+    at = rows.select("key", "rep", "comp", F.max(F.struct("m", "key")).over(of_rep).alias("at"))
+    # A bucket's classes come to the greatest home among them, so that groups tied by few bands are not dealt over many blocks.
+    tops = at.groupBy("key").agg(F.max("at").alias("top"))
+    homes = at.join(tops, "key").select("key", "rep", "comp", F.max("top").over(of_rep)["key"].alias("home"))
+    homes = homes.join(own, "comp", "left").withColumn("own", F.coalesce("own", F.lit(-1)))
+    homes = written(homes, "homes")
+    blocks = homes.groupBy("home", "own").agg(F.count_distinct("rep").alias("n")).select("home", "own", F.ceil(F.col("n") / BLOCK).alias("blocks"))
     block = F.xxhash64("home", "own", F.pmod(F.xxhash64("rep"), "blocks"))
-    classes = written(classes.join(blocks, ["home", "own"]).select("rep", "comp", block.alias("c")), "classes")
-    placed = rows.select("key", "rep").join(classes, "rep")
+    placed = written(homes.join(blocks, ["home", "own"]).select("key", "rep", "comp", block.alias("c")), "placed")
+    classes = written(placed.select("rep", "comp", "c").distinct(), "classes")
     per_key = placed.groupBy("key", "c").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
     one = per_key.select("key", *(F.col(x).alias(f"{x}1") for x in ("c", "low", "high")))
     two = per_key.select("key", *(F.col(x).alias(f"{x}2") for x in ("c", "low", "high")))

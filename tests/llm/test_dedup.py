@@ -181,3 +181,29 @@ def test_near_on_documents(spark):
     kept = {r.doc_id for r in near_dup.keep_one(docs, width=2).select("doc_id").collect()}
     assert kept == {i for i, _, _, k in brute_near(rows, 2) if k}
     assert docs.where(F.col("doc_id") < 0).count() == 0
+
+
+def test_blocks_of_groups_tied_by_many_buckets(spark, monkeypatch):
+    """Classes that share a bucket meet in a pair of blocks, and a class is not sent once per bucket that its group holds."""
+    buckets = {key: [rep for rep in range(200) if (rep * 7919 + key * 104729) % 97 < 20 + key % 5] for key in range(40)}
+    rows = [(key, rep, rep, len(reps)) for key, reps in buckets.items() for rep in reps]
+    reps = sorted({row[1] for row in rows})
+    full = spark.createDataFrame([(rep, bytearray(), bytearray()) for rep in reps], near_dup.FULL)
+
+    def met(percent):
+        def run(batches):
+            for batch in batches:
+                pairs = zip(batch.column("c1").to_pylist(), batch.column("c2").to_pylist(), batch.column("rep").to_pylist())
+                yield near_dup._links([(c1 ^ (c2 >> 1), rep) for c1, c2, rep in pairs])
+
+        return run
+
+    monkeypatch.setattr(near_dup, "verify_blocks", met)
+    none = spark.createDataFrame([], "node long, comp long")
+    sent = [tuple(r) for r in near_dup.block_links(spark.createDataFrame(rows, "key long, rep long, comp long, m long"), none, full, 80).collect()]
+    assert len(sent) <= 2 * len(reps)
+    together = {}
+    for place, rep in sent:
+        together.setdefault(place, set()).add(rep)
+    for members in buckets.values():
+        assert all(any({a, b} <= found for found in together.values()) for a, b in itertools.combinations(members, 2))
