@@ -15,8 +15,9 @@ def components(links: DataFrame) -> DataFrame:
     takes as many rounds as the logarithm of its length. A node's many links are combined before the shuffle.
     Rounds are written to the shared folder, so that no lineage grows and lost executors cost one round.
     """
-    both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    edges = written(both.where("a <> b").distinct(), "edges")
+    # Both ways from one row: a union of two selections would find all links twice.
+    both = links.where("a <> b").selectExpr("inline(array(struct(a, b), struct(b as a, a as b)))")
+    edges = written(both.distinct(), "edges")
     labels = edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("near"))
     labels = written(labels.select("node", F.least("node", "near").alias("comp")), "labels")
     while True:

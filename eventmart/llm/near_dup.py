@@ -242,7 +242,10 @@ def verify_blocks(percent: int):
 
 
 def star_links(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
-    """(lead, rep) -> links (a, b). A leader with many members is given to several tasks, each with some of them."""
+    """(lead, rep) -> links (a, b). A leader with many members is given to several tasks, each with some of them.
+
+    `pairs` is read three times, so it comes as a written table.
+    """
     sizes = pairs.groupBy("lead").agg(F.ceil(F.count(F.lit(1)) / STAR).alias("salts"))
     members = pairs.join(sizes, "lead").select(
         "lead", F.pmod(F.xxhash64("rep"), "salts").alias("salt"), F.lit(1).alias("role"), "rep"
@@ -356,7 +359,7 @@ def find_links(source: DataFrame, bands: DataFrame, width: int, percent: int) ->
     rows = written(open_buckets(buckets, comps), "open")
     others = rows.select("rep", "comp", F.explode(F.array("lead1", "lead2", "lead3")).alias("lead"))
     others = with_comp(others, comps, "lead", "lead_comp").where("comp <> lead_comp")
-    second = best_leads(others.join(first, ["rep", "lead"], "left_anti"))
+    second = written(best_leads(others.join(first, ["rep", "lead"], "left_anti")), "leads")
     links2 = written(star_links(second, full, percent), "links")
     links = links.unionByName(links2)
     comps = components(links)
@@ -370,7 +373,8 @@ def find_links(source: DataFrame, bands: DataFrame, width: int, percent: int) ->
             break
         leads = rows.groupBy("key").agg(F.min_by("rep", F.xxhash64("rep", F.lit(turn))).alias("lead"))
         met = with_comp(rows.select("key", "rep", "comp").join(leads, "key"), comps, "lead", "lead_comp")
-        more = written(star_links(best_leads(met.where("comp <> lead_comp")), full, percent), "links")
+        further = written(best_leads(met.where("comp <> lead_comp")), "leads")
+        more = written(star_links(further, full, percent), "links")
         links = links.unionByName(more)
         comps = components(links)
         rows = written(open_buckets(rows.drop("comp"), comps), "open")
@@ -379,13 +383,17 @@ def find_links(source: DataFrame, bands: DataFrame, width: int, percent: int) ->
             break
 
     # Whatever is still open, in full.
+    if not left:
+        return comps
     small = rows.where(F.col("m") <= SMALL_BUCKET).select("key", "rep", "comp")
     other = small.select("key", F.col("rep").alias("lead"), F.col("comp").alias("lead_comp"))
     pairs = small.join(other, "key").where("lead < rep and comp <> lead_comp").select("lead", "rep").distinct()
-    pairs = pairs.join(first, ["rep", "lead"], "left_anti")
+    pairs = written(pairs.join(first, ["rep", "lead"], "left_anti"), "pairs")
+    links = links.unionByName(star_links(pairs, full, percent))
     large = rows.where(F.col("m") > SMALL_BUCKET)
-    links3 = star_links(pairs, full, percent).unionByName(block_links(large, comps, full, percent))
-    return components(links.unionByName(links3))
+    if large.limit(1).count():
+        links = links.unionByName(block_links(large, comps, full, percent))
+    return components(links)
 
 
 def near_dup(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventmart.llm.words import Words, find_words, portions
-from eventmart.llm.worker import held, tidy
+from eventmart.llm.worker import give_back, held, tidy
 
 PER_LABEL = 1200
 LONGEST = 20_000
@@ -452,7 +452,12 @@ def train(docs: DataFrame, labels: DataFrame, learned: Column, per_label: int =
         .select("text", "toxic")
         .collect()
     )
-    return fit([(row.text, row.toxic) for row in rows])
+    texts = [(row.text, row.toxic) for row in rows]
+    del rows
+    try:
+        return fit(texts)
+    finally:  # the driver lives on; what the fit has freed is of no use to it
+        give_back()
 
 
 def toxicity(docs: DataFrame, model: Model) -> DataFrame:

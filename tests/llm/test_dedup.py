@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from eventmart.llm import exact_dedup, line_dedup, near_dup
 from eventmart.llm.common import table
+from eventmart.llm.components import components
+from eventmart.session import written
 
 AZ = {c: c + 32 for c in range(65, 91)}
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -207,3 +209,33 @@ def test_blocks_of_groups_tied_by_many_buckets(spark, monkeypatch):
         together.setdefault(place, set()).add(rep)
     for members in buckets.values():
         assert all(any({a, b} <= found for found in together.values()) for a, b in itertools.combinations(members, 2))
+
+
+def test_links_are_found_once(spark):
+    """Links come from costly comparisons, so components take both directions from one evaluation of them."""
+    compared = spark.sparkContext.accumulator(0)
+
+    def pairs(batches):
+        for batch in batches:
+            compared.add(batch.num_rows)
+            yield batch
+
+    links = spark.createDataFrame([(1, 2), (2, 3), (3, 3), (5, 4), (7, 7)], "a long, b long").mapInArrow(pairs, "a long, b long")
+    got = sorted(map(tuple, components(links).collect()))
+    assert got == [(1, 1), (2, 1), (3, 1), (4, 4), (5, 4)]
+    assert compared.value == 5
+
+
+def test_nothing_is_compared_once_all_buckets_are_closed(spark, monkeypatch):
+    """Where the stars have linked all that share a bucket, no block or pair is laid out and components are not found again."""
+    rows = [(i, " ".join(f"w{k}" for k in range(60)) + f" end{i}") for i in range(5)] + [(9, "something else that is nowhere near")]
+    tables = []
+
+    def kept(frame, name):
+        tables.append(name)
+        return written(frame, name)
+
+    monkeypatch.setattr(near_dup, "written", kept)
+    got = near_dup.near_dup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.component_id) for r in got) == [(0, 0), (1, 0), (2, 0), (3, 0), (4, 0), (9, 9)]
+    assert not {"homes", "placed", "pairs"} & set(tables)
