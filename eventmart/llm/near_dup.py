@@ -12,7 +12,8 @@
 5. Connected components over all links.
 
 Signatures and sets are kept for candidates alone, in a written table; text is read twice and is never shuffled unless
-there are too many candidates to send their ids to all executors.
+there are too many candidates to send their ids to all executors. Likewise a round's comparisons are sent to the sets, and only
+the sets that the round needs are shuffled, once, to their comparisons.
 """
 
 from __future__ import annotations
@@ -40,6 +41,8 @@ BLOCK = 512
 STARS = 10  # rounds of further leaders at most; what they leave open is compared in full
 SLOW = 0.9  # a round that leaves more than this share open is the last one
 SENT_IDS = 1_000_000
+#: A round's rows of comparisons (some 40 bytes each) up to this number are sent to all executors; beyond, the sets are shuffled to them.
+SENT_ROWS = 250_000
 
 _random = np.random.default_rng(7)
 _A = (_random.integers(0, 2**31, HASHES, dtype=np.uint32) * np.uint32(2) + np.uint32(1))[:, None]
@@ -241,6 +244,12 @@ def verify_blocks(percent: int):
     return run
 
 
+def with_sets(rows: DataFrame, full: DataFrame) -> DataFrame:
+    """`rows` with the signature and set of their `rep`. The rows are small next to the sets, so it is they that move."""
+    rows = written(rows, "wanted")
+    return full.join(rows if rows.count() > SENT_ROWS else F.broadcast(rows), "rep")
+
+
 def star_links(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
     """(lead, rep) -> links (a, b). A leader with many members is given to several tasks, each with some of them.
 
@@ -254,8 +263,7 @@ def star_links(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
         "lead", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("role"), F.col("lead").alias("rep")
     )
     return (
-        members.unionByName(leaders)
-        .join(full, "rep")
+        with_sets(members.unionByName(leaders), full)
         .repartition("lead", "salt")
         .sortWithinPartitions("lead", "salt", "role")
         .mapInArrow(tidy(verify_star(percent)), LINK)
@@ -322,8 +330,7 @@ def block_links(rows: DataFrame, comps: DataFrame, full: DataFrame, percent: int
         .select("c1", "c2", "rep", "comp", F.lit(1).alias("side"))
     )
     return (
-        left.unionByName(right)
-        .join(full, "rep")
+        with_sets(left.unionByName(right), full)
         .repartition("c1", "c2")
         .sortWithinPartitions("c1", "c2")
         .mapInArrow(tidy(verify_blocks(percent)), LINK)
@@ -332,6 +339,8 @@ def block_links(rows: DataFrame, comps: DataFrame, full: DataFrame, percent: int
 
 def find_links(source: DataFrame, bands: DataFrame, width: int, percent: int) -> DataFrame | None:
     """(node, comp) over classes with links; None if no two classes share a bucket."""
+    # Dealt by key once, for the buckets' leaders and for the join with them; a key has at most one row of a class's bands.
+    bands = bands.repartition("key")
     keys = (
         bands.groupBy("key")
         .agg(

@@ -152,6 +152,36 @@ def test_near_ids_shuffled_beyond_the_bound(spark, monkeypatch):
     assert {tuple(r) for r in near_dup.near_dup(frame, width=2).collect()} == brute_near(rows, 2)
 
 
+def test_near_sets_shuffled_beyond_the_bound(spark, monkeypatch):
+    monkeypatch.setattr(near_dup, "SENT_ROWS", 0)
+    rows = near_rows(80)
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(map(tuple, near_dup.near_dup(frame).collect())) == sorted(brute_near(rows, 5))
+
+
+def test_comparisons_move_to_the_sets(spark, monkeypatch):
+    """Whole sets are shuffled to their comparisons alone, and rows of bands once, however large the tables are."""
+    rows = near_rows(80)
+    source = spark.createDataFrame(rows, "doc_id long, text string")
+    plans, kept = [], near_dup.written
+
+    def watched(frame, name):
+        plans.append((name, frame._jdf.queryExecution().sparkPlan().toString(), frame._jdf.queryExecution().executedPlan().toString()))
+        return kept(frame, name)
+
+    monkeypatch.setattr(near_dup, "written", watched)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        near_dup.near_dup(source).count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    stars = [plan for name, plan, _ in plans if name == "links"]
+    assert stars and all("BroadcastHashJoin" in plan and "SortMergeJoin" not in plan for plan in stars)
+    buckets = next(plan for name, _, plan in plans if name == "buckets")
+    assert buckets.count("Exchange hashpartitioning(key") == buckets.count("REPARTITION_BY_COL")
+
+
 def test_one_id_with_two_texts_is_one_document(spark):
     a, b = "a b c d e f g h i j", "k l m n o p q r s t"
     rows = [(5, a), (5, b), (7, a), (3, b), (9, "else where")]
