@@ -105,10 +105,24 @@ def hop_pv_uv(
     pane at hand, a pane adds the user exactly to the windows starting after that pane. So unique
     users become a sum, and the (window, key, user) rows, size/slide times the data, never exist.
     """
-    pane = _pane(size, slide)
-    seen = clicks.groupBy(_aligned(epoch_seconds(ts), pane).alias("__pane"), *keys, user).agg(
+    spread = user_windows(user_panes(clicks, keys, size, slide, ts, user), keys, size, slide, user)
+    return spread.select(*_bounds(size), *keys, "pv", "uv")
+
+
+def user_panes(
+    clicks: DataFrame, keys: Sequence[str], size: int, slide: int, ts: str = "ts", user: str = "user_id"
+) -> DataFrame:
+    """Rows `__n` per pane (its start, `__pane`), key and user."""
+    return clicks.groupBy(_aligned(epoch_seconds(ts), _pane(size, slide)).alias("__pane"), *keys, user).agg(
         F.count(F.lit(1)).alias("__n")
     )
+
+
+def user_windows(
+    seen: DataFrame, keys: Sequence[str], size: int, slide: int, user: str = "user_id", which: Column | None = None
+) -> DataFrame:
+    """PV and UV per window (its start, `__w`) and key, from rows of `user_panes`; `which` tells the windows wanted."""
+    pane = _pane(size, slide)
     # One row per pane in each group, so a busy user's group is bounded by the time span.
     previous = F.lag("__pane").over(Window.partitionBy(*keys, user).orderBy("__pane"))
     oldest = F.col("__pane") + (pane - 1) - size
@@ -121,12 +135,9 @@ def hop_pv_uv(
     spread = parts.select(
         *keys, "__seen", "__pv", "__uv", F.explode(_windows_of("__pane", size, slide, pane)).alias("__w")
     )
-    return (
-        spread.groupBy("__w", *keys)
-        .agg(
-            F.sum("__pv").alias("pv"),
-            F.sum(F.when(F.col("__w") > F.col("__seen"), F.col("__uv")).otherwise(0)).alias("uv"),
-        )
-        .select(*_bounds(size), *keys, "pv", "uv")
+    if which is not None:
+        spread = spread.where(which)
+    return spread.groupBy("__w", *keys).agg(
+        F.sum("__pv").alias("pv"),
+        F.sum(F.when(F.col("__w") > F.col("__seen"), F.col("__uv")).otherwise(0)).alias("uv"),
     )
-

@@ -15,6 +15,7 @@ from eventmart.plans.jobs import REPORT_ATTRIBUTES, clean_clicks, connect_change
 from eventmart.session import shared_folder, state_partitions
 from eventmart.sources.streams import register_stream_table, with_event_time
 from eventmart.streaming import aggregates, misuse, sinks
+from eventmart.streaming.hops import HopReport
 from eventmart.streaming.outputs import CommittedOutputs, quarantine_split, split_counts
 from eventmart.streaming.refire import RefiringReport
 from eventmart.streaming.running import RunningTotals, ordered_into, retract_into
@@ -109,9 +110,9 @@ def stream_table_pv_uv(spark, sf):
     folder = _log_table(spark, sf)
     rows = spark.sql("select *, substring(stropDate, 1, 10) as action_day from log_table")
     keys = ["appId", "funcId", "funcName", "orgCode", "orgName", "action_day"]
-    report = aggregates.hop_pv_uv(rows, keys, 3600, 300, ts="rowtime", user="userId")
-    _run(report, "append", sinks.append_to(f"{folder}/report"), folder)
-    return _wall_clock(spark.read.parquet(f"{folder}/report").drop("batch_id"))
+    report = HopReport(f"{folder}/report", keys, 3600, 300, delay=60, ts="rowtime", user="userId")
+    _run(rows, "append", report, folder)
+    return _wall_clock(report.results(spark))
 
 
 def _event_intents(spark, sf, delay: str) -> DataFrame:
@@ -327,12 +328,15 @@ def stream_slot_report(spark, sf):
     folder = shared_folder(spark, "slots")
     clicks = with_event_time(fixtures.closed_stream(fixtures.view(spark, sf, "clicks"), f"{folder}/in"), delay="60 seconds")
     timed = clicks.withColumn("action_day", F.date_format("ts", "yyyy-MM-dd"))
-    report = aggregates.hop_pv_uv(timed, ["app_id", "func_id", "org_code", "action_day"], 3600, 300)
-    # A window over midnight has a row per day, so a key has one row per window within its slot.
-    slotted = report.withColumn("slot", day_slot("action_day"))
     keys = ("slot", "app_id", "func_id", "org_code")
     target = sinks.UpsertTable(f"{folder}/report", keys, ("window_end", "action_day"), ("slot",), load_time="optime")
-    _run(slotted, "append", target, folder)
+
+    def slotted(report: DataFrame, batch_id: int) -> None:
+        # A window over midnight has a row per day, so a key has one row per window within its slot.
+        target(report.withColumn("slot", day_slot("action_day")), batch_id)
+
+    report = HopReport(f"{folder}/windows", ["app_id", "func_id", "org_code", "action_day"], 3600, 300, delay=60, report_to=[slotted])
+    _run(timed, "append", report, folder)
     current = target.read(spark).select("app_id", "func_id", "org_code", "window_end", "pv", "uv", F.col("slot").cast("string"))
     return _wall_clock(current)
 

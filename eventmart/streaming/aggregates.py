@@ -34,6 +34,7 @@ def hop_pv_uv(
 
     Three chained aggregations: per pane and user, per window and user, per window. A user's rows in
     a window become one row before users are counted, and the watermark bounds all three states.
+    The second holds size / slide rows per pane, key and user; `hops.HopReport` does without them.
     """
     pane = F.window(ts, f"{gcd(size, slide)} seconds").alias("pane")
     seen = clicks.groupBy(pane, *keys, user).agg(F.count(F.lit(1)).alias("n"))

@@ -16,6 +16,7 @@ from eventmart.session import shared_folder
 from eventmart.sources import dims
 from eventmart.sources.streams import kafka_options, read_json_stream, register_stream_table, with_event_time
 from eventmart.streaming import aggregates, misuse, sinks
+from eventmart.streaming.hops import HopReport
 from eventmart.streaming.late import LateRouter
 from eventmart.streaming.refresh import RefreshedDimension, enrich_with
 
@@ -415,3 +416,60 @@ def test_replayed_parts_of_several_files(spark, folder, monkeypatch):
         assert found == {0: 599, 1: 1, 3: 400}
         written = spark.read.format(kind).load(f"{folder}/{kind}/in/000").groupBy(F.input_file_name()).count()
         assert written.count() > 1 and written.agg(F.max("count")).first()[0] <= 200
+
+
+def test_hop_report_equals_the_batch_and_restarts(spark, folder, click_files, click_batch):
+    """Each closed window once, with the batch operator's counts; between batches a row per pane, key and user of open windows."""
+    names = sorted(os.listdir(click_files))
+    report = HopReport(f"{folder}/out", ["func_id"], 3600, 300)
+    for some in (names[:2], names[2:]):
+        for name in some:
+            with open(f"{click_files}/{name}") as file:
+                write_texts(f"{folder}/in", name, file.read().splitlines())
+        run(click_stream(spark, f"{folder}/in"), "append", report, folder)
+    newest = click_batch.agg(F.max("ts")).first()[0]
+    columns = ["window_start", "window_end", "func_id", "pv", "uv"]
+    expected = closed(zoned(windows.hop_pv_uv(click_batch, ["func_id"], 3600, 300)), newest, 10)
+    assert rows(report.results(spark), columns) == rows(expected, columns)
+    assert report.late(spark).count() == 0
+    mark = int(newest.timestamp()) - 10
+    first_open = (mark - 3600) // 300 * 300 + 300
+    panes = windows.user_panes(click_batch, ["func_id"], 3600, 300).where(F.col("__pane") >= first_open)
+    last = report.outputs.last(spark)
+    assert rows(report.outputs.read(spark, "open", [last]).drop("version"), panes.columns) == rows(panes)
+
+
+def test_hop_report_with_disorder_nulls_and_late_rows(spark, folder):
+    """Rows out of order within the delay count; rows of passed panes and without time are handed over; a repeat changes nothing."""
+
+    def batch(*found):
+        made = [(k, u, None if s is None else START + timedelta(seconds=s)) for k, u, s in found]
+        return spark.createDataFrame(made, "k string, u string, ts timestamp")
+
+    seen = []
+    report = HopReport(f"{folder}/out", ["k"], 60, 20, delay=10, user="u", report_to=[lambda found, n: seen.append((n, found.count()))])
+    batches = [
+        [("a", "x", 5), ("a", "x", 25), ("a", None, 26), (None, "y", 27), ("a", "x", 45)],
+        [("a", "x", 31), ("a", "y", 36), ("a", "x", 19), ("a", "z", None), ("a", "x", 95)],
+        [("a", "x", 79), ("a", "x", 84), (None, "y", 200)],
+        [("a", "x", 10_000)],
+        [],
+    ]
+    for i, found in enumerate(batches):
+        report(batch(*found), i)
+    report(batch(*batches[1]), 1)
+    late = sorted((r["u"], r["ts"]) for r in report.late(spark).where("ts is not null").collect())
+    # The watermark is at 35 s, then at 85 s: the panes that end at 20 s and at 80 s have been passed.
+    assert late == [("x", START + timedelta(seconds=19)), ("x", START + timedelta(seconds=79))]
+    assert report.late(spark).where("ts is null").count() == 1
+    flat = [r for found in batches for r in found if r[2] not in (19, 79, None, 10_000)]
+    expected = {}
+    for k in ("a", None):
+        for start in range(-40, 201, 20):
+            users = [u for kk, u, s in flat if kk == k and start <= s < start + 60]
+            if users:
+                expected[(k, start)] = (len(users), len(set(users) - {None}))
+    zero = START.timestamp() - datetime(1970, 1, 1).timestamp()
+    got = [((r["k"], int(r["w"] - zero)), (r["pv"], r["uv"])) for r in report.results(spark).withColumn("w", F.unix_seconds("window_start")).collect()]
+    assert len(got) == len(dict(got)) and dict(got) == expected
+    assert [n for n, _ in seen] == [0, 1, 2, 3, 4, 1] and seen[-1][1] == seen[1][1]
